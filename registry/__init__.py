@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("reco",)
+AREAS = ("reco", "cart")
 
 
 def _merged(name: str) -> dict:
