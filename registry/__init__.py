@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("reco", "cart")
+AREAS = ("reco", "cart", "feeds")
 
 
 def _merged(name: str) -> dict:

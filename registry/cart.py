@@ -48,6 +48,10 @@ def _log(t):
     return run.sessions(t, CFG, AS_OF)
 
 
+def _staged_log(t):
+    return run.stage(_log(t))
+
+
 def prepared(spark, sf):
     t = views(spark, sf, *LOG_TABLES)
     return _seconds(
@@ -115,7 +119,7 @@ def purchasers(spark, sf):
 
 def target_rows(spark, sf):
     t = views(spark, sf, *TARGET_TABLES)
-    return _seconds(run.cart_targets(t, _log(t), CFG, AS_OF))
+    return _seconds(run.cart_targets(t, _staged_log(t), CFG, AS_OF))
 
 
 def identities(spark, sf):
@@ -123,7 +127,7 @@ def identities(spark, sf):
 
 
 def _candidates(t):
-    rows = run.cart_targets(t, _log(t), CFG, AS_OF)
+    rows = run.stage(run.cart_targets(t, _staged_log(t), CFG, AS_OF))
     return targets.candidate_send_list(rows, t["identity_map"], t["rfm"], CFG)
 
 
@@ -144,7 +148,7 @@ def _capped(cfg):
 
 
 def _carts(t):
-    return run.carts(t, _log(t), CFG, AS_OF)
+    return run.carts(t, _staged_log(t), CFG, AS_OF)
 
 
 def cart_rows(spark, sf):

@@ -28,9 +28,8 @@ def cart_targets(t: dict, log: DataFrame, cfg, as_of: datetime) -> DataFrame:
 
 
 def capped_candidates(t: dict, log: DataFrame, cfg, as_of: datetime) -> DataFrame:
-    found = targets.candidate_send_list(
-        cart_targets(t, log, cfg, as_of), t["identity_map"], t["rfm"], cfg
-    )
+    rows = stage(cart_targets(t, log, cfg, as_of))
+    found = targets.candidate_send_list(rows, t["identity_map"], t["rfm"], cfg)
     return sendlist.frequency_cap(found, t["cart_history"], t["browser_history"], cfg, as_of)
 
 

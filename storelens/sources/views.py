@@ -280,6 +280,93 @@ VIEWS: dict[str, str] = {
                case when event_id % 2 = 0 then '2024-01-31 08:00:00'
                     else '2024-01-30 08:00:00' end as scheduled_time
         from events where event_type = 'signup' and user_id % 10 = 3""",
+    # feed masters: two versions of every key
+    "versions": """
+        select 0 as v, timestamp '2024-01-01 00:00:00' as imported_at
+        union all select 1, timestamp '2024-01-15 00:00:00'""",
+    "feed_sku": """
+        select 'sku' || cast(p_partkey as string) as item_id,
+               'code' || cast(p_partkey as string) as item_code,
+               'item' || cast(p_partkey % 700 as string) as parent_item_id,
+               cast(cast(floor(p_retailprice) as bigint) as string) as retail_price_out_tax,
+               case when p_partkey % 41 = 0 then '0'
+                    else cast(cast(floor(p_retailprice) as bigint) + 90 * v as string) end
+                   as retail_price_in_tax,
+               'color' || cast(p_size % 5 as string) as variation_name1,
+               case p_size % 3 when 0 then 'S' when 1 then 'M' else null end as variation_name2,
+               cast(p_size as string) as variation_id1,
+               case when p_partkey % 53 = 0 then 'bad' else '20230405060708' end
+                   as register_date_time,
+               case when p_partkey % 6 = 0 then 'LIMITED' else 'FREE' end as allocate_div,
+               case when p_partkey % 10 = 9 and v = 1 then 'STOPPED' else 'ACTIVE' end as status,
+               imported_at
+        from part cross join versions""",
+    "feed_product": """
+        select 'item' || cast(p_partkey as string) as item_id,
+               'AB-00' || cast(19 + p_partkey % 6 as string) || 'S' || cast(p_partkey as string)
+                   as item_code,
+               case when p_partkey % 37 = 0 then null
+                    else p_name || ' v' || cast(v as string) end as item_name,
+               'm' || cast(p_partkey as string) as merchant_item_code,
+               'b' || cast(p_partkey % 30 as string) as brand_id,
+               'pb' || cast(p_partkey % 25 as string) as public_brand_id, p_type as category_id,
+               imported_at
+        from part cross join versions where p_partkey < 700""",
+    "feed_description": """
+        select 'item' || cast(p_partkey as string) as item_id,
+               case p_partkey % 5 when 0 then null when 1 then ''
+                    else '<p>' || p_name || ' nr' || '\n' || '<b>' || p_brand || '</b></p>' end
+                   as description,
+               imported_at
+        from part cross join versions where p_partkey < 700 and p_partkey % 11 <> 0""",
+    "feed_sales": """
+        select 'sku' || cast(p_partkey as string) as item_id,
+               case when p_partkey % 59 = 0 then null else '20240101000000' end
+                   as sales_start_datetime,
+               case when p_partkey % 8 = 0 then '20240120235959' else '20240331235959' end
+                   as sales_end_datetime,
+               cast(cast(floor(p_retailprice) as bigint) - 100 as string) as sale_price_out_tax,
+               case when p_partkey % 3 = 0
+                        then cast(cast(floor(p_retailprice) as bigint) + 90 as string)
+                    else cast(cast(floor(p_retailprice * (10 - p_size % 6) / 10) as bigint) as string)
+               end as sale_price_in_tax,
+               case when p_partkey % 9 = 0 then '1' else '0' end as reserve_flag,
+               case when p_partkey % 18 = 0 then '20240215' else '20250215' end
+                   as reserve_shipment_date,
+               '20240110000000' as publish_start_datetime,
+               case when p_partkey % 13 = 0 then '20240130000000' else '20991231235959' end
+                   as publish_end_datetime,
+               case when p_partkey % 15 = 0 then 'store-2' else 'store-1' end as store_id,
+               'ACTIVE' as sales_status,
+               case when p_partkey % 19 = 0 and v = 1 then '0' else '1' end as publish_flag,
+               imported_at
+        from part cross join versions""",
+    "feed_stock": """
+        select 'sku' || cast(p_partkey as string) as item_id,
+               cast(p_size % 10 + v as bigint) as allocatable_stock,
+               case when p_partkey % 14 = 0 then 'loc-2' else 'loc-1' end as location_id,
+               imported_at
+        from part cross join versions where p_partkey % 12 <> 0""",
+    "feed_stock_limit": """
+        select 'sku' || cast(p_partkey as string) as item_id,
+               cast(p_size % 4 as bigint) as sales_limit_amount, imported_at
+        from part cross join versions where p_partkey % 6 = 0""",
+    "feed_public_brand": """
+        select 'pb' || cast(s_suppkey as string) as brand_id, s_name as brand_name,
+               case when s_suppkey % 5 = 0 then null
+                    else 'br' || cast(s_suppkey as string) end as brand_url_key,
+               imported_at
+        from supplier cross join versions where s_suppkey < 25""",
+    "feed_display_brand": """
+        select 'b' || cast(s_suppkey as string) as display_brand_id,
+               'Display ' || cast(s_suppkey as string) as display_brand_name, imported_at
+        from supplier cross join versions where s_suppkey % 2 = 0 and s_suppkey < 30""",
+    "feed_category": """
+        select p_type as category_id,
+               case p_type when 'PROMO' then '' when 'SMALL' then null
+                    else 'Apparel>Shop>' || p_type end as google_product_category,
+               'type ' || p_type as product_type, timestamp '2024-01-01 00:00:00' as imported_at
+        from (select distinct p_type from part) p""",
 }
 
 ITEM = re.compile(r"@item\(([^)]*)\)")
