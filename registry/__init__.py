@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("reco", "cart", "feeds")
+AREAS = ("reco", "cart", "feeds", "content")
 
 
 def _merged(name: str) -> dict:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storelens.functions.text import extract, not_blank, plain_vowels, url_part
-from storelens.functions.timewin import epoch, in_range, in_window, local_format
+from storelens.functions.timewin import in_range, in_window, local_format
 from storelens.operators.sessions import sessionize
 
 # Ids and names that mark traffic to leave out.
@@ -129,6 +129,31 @@ def is_human(df: DataFrame) -> Column:
     )
 
 
+def visit_columns() -> dict[str, Column]:
+    """Who visited, which page, and whether it is the page after a purchase."""
+    own_id = not_blank("td_ssc_id")
+    path = url_part("td_url", "PATH")
+    bought = F.coalesce(F.col("td_path").like(THANK_YOU_PATH), F.lit(False)) | F.coalesce(
+        path.like(THANK_YOU_PATH), F.lit(False)
+    )
+    return {
+        "cookie": F.when(own_id, F.col("td_ssc_id")).otherwise(F.col("td_client_id")),
+        "user_id": F.col("hashedmailaddress"),
+        "ecommerce": F.when(bought, PURCHASE_MARK),
+        "td_path": path,
+    }
+
+
+def visits(events: DataFrame) -> DataFrame:
+    """Human page views with visit columns only; works on a stream."""
+    rows = events.withColumn("ua_category", agent_fields(F.col("td_user_agent"))["ua_category"])
+    return (
+        rows.filter(is_human(rows))
+        .withColumns(visit_columns())
+        .select("ts", "cookie", "user_id", "td_path", "items", "ecommerce")
+    )
+
+
 def prepare_web_events(
     events: DataFrame,
     ranges: DataFrame,
@@ -140,17 +165,11 @@ def prepare_web_events(
     rows = in_range(events, *bounds) if bounds else in_window(events, cfg.window, as_of, cfg.tz)
     rows = rows.withColumns(agent_fields(F.col("td_user_agent")))
     rows = add_geography(rows.filter(is_human(rows)), ranges)
-    own_id = not_blank("td_ssc_id")
-    path = url_part("td_url", "PATH")
-    bought = F.coalesce(F.col("td_path").like(THANK_YOU_PATH), F.lit(False)) | F.coalesce(
-        path.like(THANK_YOU_PATH), F.lit(False)
-    )
     rows = rows.withColumns(
         {
             "td_data_type": F.lit("pageview"),
-            "cookie": F.when(own_id, F.col("td_ssc_id")).otherwise(F.col("td_client_id")),
-            "cookie_type": F.when(own_id, "td_ssc_id").otherwise("td_client_id"),
-            "user_id": F.col("hashedmailaddress"),
+            **visit_columns(),
+            "cookie_type": F.when(not_blank("td_ssc_id"), "td_ssc_id").otherwise("td_client_id"),
             "td_email": F.col("hashedmailaddress"),
             **{
                 p: url_part("td_url", "QUERY", p)
@@ -158,8 +177,6 @@ def prepare_web_events(
             },
             "td_ref_host": url_part("td_referrer", "HOST"),
             "td_host": url_part("td_url", "HOST"),
-            "ecommerce": F.when(bought, PURCHASE_MARK),
-            "td_path": path,
         }
     )
     listed = F.from_json("items", "array<string>")
@@ -279,12 +296,3 @@ def sessionize_weblog(
         "ecommerce",
         *extra,
     )
-
-
-__all__ = [
-    "add_geography",
-    "classify_source_medium",
-    "epoch",
-    "prepare_web_events",
-    "sessionize_weblog",
-]

@@ -28,7 +28,7 @@ SPARK_NAMES = {
     "@time(": lambda a: f"date_format({a}, 'yyyy-MM-dd HH:mm:ss')",
     "@stamp(": lambda a: f"date_format({a}, 'yyyyMMddHHmmss')",
     "@day(": lambda a: f"date_format({a}, 'yyyyMMdd')",
-    "@hour(": lambda a: f"date_trunc('hour', {a})",
+    "@list(": lambda a: f"array({a})",
 }
 DUCKDB_NAMES = {
     "@sha(": lambda a: f"sha256({a})",
@@ -36,7 +36,7 @@ DUCKDB_NAMES = {
     "@time(": lambda a: f"strftime({a}, '%Y-%m-%d %H:%M:%S')",
     "@stamp(": lambda a: f"strftime({a}, '%Y%m%d%H%M%S')",
     "@day(": lambda a: f"strftime({a}, '%Y%m%d')",
-    "@hour(": lambda a: f"date_trunc('hour', {a})",
+    "@list(": lambda a: f"list_value({a})",
 }
 
 VIEWS: dict[str, str] = {
@@ -367,6 +367,55 @@ VIEWS: dict[str, str] = {
                     else 'Apparel>Shop>' || p_type end as google_product_category,
                'type ' || p_type as product_type, timestamp '2024-01-01 00:00:00' as imported_at
         from (select distinct p_type from part) p""",
+    # message and sheet inputs
+    "templates": """
+        select page_id as template_id,
+               'VIP ' || cast(page_id % 5 * 10 + 10 as string) || '%OFF 1/'
+                   || cast(page_id % 28 + 1 as string) as subject,
+               html || '<p>開催期間 2024/1/' || cast(page_id % 28 + 1 as string)
+                   || ' 10:00まで。1,' || cast(100 + page_id % 900 as string) || '円 '
+                   || cast(page_id % 5 * 10 + 10 as string)
+                   || '%OFF! <a class="b" href="https://shop.example.com/p/'
+                   || cast(page_id as string) || '?a=1&amp;b=2">GOLD &amp; <b>VIP</b></a>'
+                   || '<img src="https://img.example.com/' || cast(page_id as string)
+                   || '.png" alt="&lt;x&gt; &amp; &#169;"><img src=/plain.gif></p>' as html,
+               '開催期間 2024/1/'
+                   || cast(case when page_id % 4 = 1 then 30 else page_id % 28 + 1 end as string)
+                   || ' 10:00まで。1,' || cast(100 + page_id % 900 as string) || '円 '
+                   || cast(page_id % 5 * 10 + 10 as string) || '%OFF! GOLD & VIP'
+                   || case page_id % 4 when 2 then ''
+                      when 3 then ' https://shop.example.com/old'
+                      else ' https://shop.example.com/p/' || cast(page_id as string) end
+                   as plaintext
+        from pages""",
+    "links": """
+        select page_id * 10 as link_id, url from pages
+        union all
+        select page_id * 10 + 1, case page_id % 5
+                   when 0 then 'mailto:p' || cast(page_id as string) || '@example.com'
+                   when 1 then 'https://shop.example.com/member/' || cast(page_id as string)
+                   when 2 then 'https://shop.example.com/p?utm_source=old&q=a%20b+c&q=%E6%98%A5&z=~*'
+                   when 3 then 'https://shop.example.com/p/' || cast(page_id as string)
+                               || '?x&utm_campaign=&a=1#part-' || cast(page_id as string)
+                   else 'https://other.test/?utm_source=z' end
+        from pages""",
+    "grid": """
+        select 'book.xlsx' as file, 'people' as sheet, 0 as row_idx,
+               @list('Member', null, 'Money', null, null) as cells
+        union all
+        select 'book.xlsx', 'people', 1, @list('ID', 'Full Name', ' Balance (JPY) ', '2024-01-05', null)
+        union all
+        select 'book.xlsx', 'people', cast(c_custkey + 2 as int),
+               case when c_custkey % 20 = 0
+                    then @list(cast(null as string), null, null, null, null)
+                    else @list(cast(c_custkey as string), c_name,
+                               case when c_custkey % 7 = 0 then '#REF!' when c_custkey % 11 = 0 then 'NaN'
+                                    else cast(cast(c_acctbal as decimal(12, 2)) as string) end,
+                               case when c_custkey % 3 = 0 then '1.5'
+                                    else cast(c_custkey % 9 as string) end,
+                               case when c_custkey % 4 = 0 then '7' when c_custkey % 4 = 1 then 'x'
+                                    else null end) end
+        from customer""",
 }
 
 ITEM = re.compile(r"@item\(([^)]*)\)")
