@@ -13,7 +13,7 @@ from registry.feeds import _channel as channel_query
 from storelens.config import CartConfig
 from storelens.functions import timewin
 from storelens.operators.ranking import ntiles
-from storelens.operators.staging import ensure_checkpoint_dir
+from storelens.operators.staging import checkpoint_home
 from storelens.plans import content, ingest, segments
 from storelens.plans.cart import weblog
 from storelens.sources import sinks
@@ -149,8 +149,7 @@ def tiles(spark, sf):
 
 
 def _home(spark):
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/export-{uuid.uuid4().hex}"
+    return f"{checkpoint_home(spark)}/export-{uuid.uuid4().hex}"
 
 
 def quoted_csv(spark, sf):

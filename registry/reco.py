@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.common import AS_OF, NOW, candidate_sql, rounded, views, win, with_views
 from storelens import config as C
+from storelens.operators.staging import stage
 from storelens.plans.reco import association, behaviour, bestsellers, final, learned
 from storelens.plans.reco import similarity, stages
 
@@ -74,11 +75,12 @@ def pool_query(spark, sf):
 
 def weighted_query(spark, sf):
     _, pool = _pool(spark, sf)
-    return rounded(final.normalize_weight(pool, FINAL), "weighted_score", digits=7)
+    return rounded(final.normalize_weight(stage(pool), FINAL), "weighted_score", digits=7)
 
 
 def _staged(spark, sf):
     t, pool = _pool(spark, sf)
+    pool = stage(pool)
     # rounding makes ranks independent of the last bit of a floating sum
     df = rounded(final.normalize_weight(pool, FINAL), "weighted_score", digits=7)
     return t, pool, df

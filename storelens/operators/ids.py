@@ -18,5 +18,5 @@ def dense_ids(df: DataFrame, key: str, out: str) -> DataFrame:
     )
     place = F.row_number().over(W.partitionBy("_bucket").orderBy(key)) - 1
     return keys.join(F.broadcast(offsets), "_bucket").select(
-        key, (F.col("_offset") + place).cast("int").alias(out)
+        key, (F.col("_offset") + place).alias(out)
     )

@@ -29,8 +29,10 @@ def salted_join(
 def overlap_pairs(df: DataFrame, entity: str, via: str, min_overlap: int) -> DataFrame:
     """Unordered entity pairs that share at least ``min_overlap`` values of ``via``.
 
-    Returns ``(a, b, overlap)`` with ``a < b`` and the exact overlap.
-    ``df`` needs the two string columns; duplicates are ignored.
+    Returns ``(a, b, overlap)`` with the exact overlap, each pair once.
+    ``df`` needs the two string columns; duplicates are ignored. Pairs are counted
+    on numbers, which keeps the large shuffle narrow; only pairs that
+    pass get their names back.
 
     Prefix filtering: put the ``via`` values in one global order with the
     largest groups last, and drop up to ``min_overlap - 1`` large values from the
@@ -41,10 +43,11 @@ def overlap_pairs(df: DataFrame, entity: str, via: str, min_overlap: int) -> Dat
     entity, are added back to each candidate by equi-join lookups. Groups that
     are large all the same are cut into slices, so no task joins a whole group.
     """
-    rows = df.select(F.col(entity).alias("e"), F.col(via).alias("v")).distinct()
-    if min_overlap > 1:
-        enough = rows.groupBy("e").agg(F.count("*").alias("n")).filter(F.col("n") >= min_overlap)
-        rows = rows.join(enough.select("e"), "e", "left_semi")
+    rows = stage(df.select(F.col(entity).alias("e"), F.col(via).alias("v")).distinct())
+    enough = rows.groupBy("e").agg(F.count("*").alias("n")).filter(F.col("n") >= min_overlap)
+    # unique numbers; written out at once, so they are the same for every reader
+    names = stage(enough.select("e", F.monotonically_increasing_id().alias("id")))
+    rows = stage(rows.join(names, "e").select(F.col("id").alias("e"), "v"))
     heavy = (
         rows.groupBy("v")
         .agg(F.count("*").alias("size"))
@@ -53,9 +56,16 @@ def overlap_pairs(df: DataFrame, entity: str, via: str, min_overlap: int) -> Dat
         .limit(HEAVY_GROUPS)
     )
     if heavy.isEmpty():
-        pairs = _pairs_of(rows.withColumn("slices", F.lit(1)))
-        return pairs.withColumnRenamed("n", "overlap").filter(F.col("overlap") >= min_overlap)
-    return _heavy_overlap(stage(rows), stage(heavy), min_overlap)
+        pairs = _pairs_of(rows.withColumn("slices", F.lit(1))).withColumnRenamed("n", "overlap")
+        passed = pairs.filter(F.col("overlap") >= min_overlap)
+    else:
+        passed = _heavy_overlap(rows, stage(heavy), min_overlap)
+    return (
+        passed.withColumnsRenamed({"a": "_a", "b": "_b"})
+        .join(names.select(F.col("id").alias("_a"), F.col("e").alias("a")), "_a")
+        .join(names.select(F.col("id").alias("_b"), F.col("e").alias("b")), "_b")
+        .select("a", "b", "overlap")
+    )
 
 
 def _pairs_of(kept: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from storelens.operators.staging import stage
+
 
 def topk_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank_in_logic"
@@ -53,6 +55,7 @@ def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5)
     only rows of one cell are sorted together.
     """
     names = list(measures)
+    df = stage(df.select(F.col(key), *[measures[n].cast("double").alias(n) for n in names]))
     long = (
         df.select(
             F.col(key).cast("string").alias("_key"),
@@ -60,7 +63,7 @@ def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5)
             F.explode(
                 F.array(
                     *[
-                        F.struct(F.lit(n).alias("measure"), measures[n].cast("double").alias("v"))
+                        F.struct(F.lit(n).alias("measure"), F.col(n).alias("v"))
                         for n in names
                     ]
                 )
@@ -69,7 +72,7 @@ def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5)
         .select("_key", "_md5", "m.measure", "m.v")
         .withColumn("cell", F.substring("_md5", 1, 2))
     )
-    cells = long.groupBy("measure", "v", "cell").agg(F.count("*").alias("n"))
+    cells = stage(long.groupBy("measure", "v", "cell").agg(F.count("*").alias("n")))
     cuts = cells.groupBy("measure").agg(
         F.percentile_approx("v", [i / 256 for i in range(1, 256)], 2560).alias("cuts")
     )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_home(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only where that is unset (a local test run) a temporary folder is taken.
     """
@@ -16,9 +17,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="storelens-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """A result that is read more than once, written to the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """A result that is read more than once, written as a table to the checkpoint folder.
+
+    The table survives the loss of executors, is read column by column, and its
+    size is known to the planner, which then picks joins by it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_home(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -46,8 +46,12 @@ def decode_entities(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
         return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
 
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,5});"), F.lit(1)))
-    decoded = F.when(text.contains("&#"), F.aggregate(codes, text, put)).otherwise(text)
+    def numeric(t: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(t, F.lit("&#([0-9]{1,5});"), F.lit(1)))
+        return F.when(t.contains("&#"), F.aggregate(codes, t, put)).otherwise(t)
+
+    # the lambda variable holds the text, so it is computed once however often it is used
+    decoded = F.get(F.transform(F.array(text), numeric), F.lit(0))
     return F.replace(decoded, F.lit("&amp;"), F.lit("&"))
 
 
@@ -93,16 +97,22 @@ def extract_images(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     )
 
 
-def extract_entities(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Distinct (key, kind, value) of the entities in a text column."""
+def _entities(text: Column) -> Column:
+    """Array of (kind, value) of the distinct entities of a text."""
+
     def of_kind(kind: str, pattern: str) -> Column:
-        values = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
+        values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    found = F.concat(*[of_kind(k, p) for k, p in ENTITY_PATTERNS.items()])
-    return (
-        df.select(key, F.explode(found).alias("e")).select(key, "e.kind", "e.value").distinct()
+    return F.concat(*[of_kind(k, p) for k, p in ENTITY_PATTERNS.items()])
+
+
+def extract_entities(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Distinct (key, kind, value) of the entities in a text column; ``key`` is unique."""
+    rows = df.filter(F.col(text).isNotNull()).select(
+        key, F.explode(_entities(F.col(text))).alias("e")
     )
+    return rows.select(key, "e.kind", "e.value")
 
 
 SIDES = ("html", "text", "subject")
@@ -114,18 +124,18 @@ def content_consistency(templates: DataFrame, key: str = "template_id") -> DataF
     ``missing`` is in the HTML but not in the plain text, ``stale`` the other way
     round, ``subject_only`` in the subject but in neither body.
     """
-    sides = templates.select(
-        key,
-        # addresses are attributes, so the markup itself is searched for them too
-        F.concat_ws(" ", html_to_text("html"), "html").alias("html"),
-        F.col("plaintext").alias("text"),
-        "subject",
+    empty = F.lit("")
+    # addresses are attributes, so the markup itself is searched for them too
+    texts = {
+        "html": F.concat_ws(" ", html_to_text("html"), "html"),
+        "text": F.coalesce("plaintext", empty),
+        "subject": F.coalesce("subject", empty),
+    }
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), c.alias("t")) for s, c in texts.items()])
+    long = templates.select(key, F.explode(sides).alias("p")).select(key, "p.side", "p.t")
+    parts = long.select(key, "side", F.explode(_entities(F.col("t"))).alias("e")).select(
+        key, "side", "e.kind", "e.value"
     )
-    parts = None
-    for side in SIDES:
-        column = sides.select(key, F.col(side).alias("t"))
-        rows = extract_entities(column, key, "t").withColumn("side", F.lit(side))
-        parts = rows if parts is None else parts.unionByName(rows)
     flags = parts.groupBy(key, "kind", "value").agg(
         *[F.max(F.col("side") == s).alias(f"in_{s}") for s in SIDES]
     )

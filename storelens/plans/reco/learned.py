@@ -15,7 +15,7 @@ from storelens.functions.timewin import in_range, in_window, window_bounds
 from storelens.operators.ids import dense_ids
 from storelens.operators.joins import salted_join
 from storelens.operators.ranking import topk_per_key
-from storelens.operators.staging import ensure_checkpoint_dir, stage
+from storelens.operators.staging import checkpoint_home, stage
 from storelens.plans.reco.base import CANDIDATE_SCHEMA, Tables, candidates, purchases
 
 FEATURES = [
@@ -192,7 +192,7 @@ def user_based_cf(t: Tables, cfg, as_of: datetime) -> DataFrame:
     the rows made stay proportional to the purchases, whoever owns most.
     """
     spark = t["purchases"].sparkSession
-    ensure_checkpoint_dir(spark)
+    checkpoint_home(spark)
     rows = interactions(t, cfg, as_of).filter(F.col("interaction_value") >= cfg.min_interactions)
     rated = ratings(rows).select("member_id", "product_id", "rating")
     mean = rated.agg(F.avg("rating").alias("mean")).scalar()
@@ -219,6 +219,7 @@ def user_based_cf(t: Tables, cfg, as_of: datetime) -> DataFrame:
         centred.join(dense_ids(centred, "member_id", "u"), "member_id").join(
             dense_ids(centred, "product_id", "i"), "product_id"
         )
+        .withColumns({"u": F.col("u").cast("int"), "i": F.col("i").cast("int")})
     )
     model = ALS(
         userCol="u",

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from storelens.functions.text import not_blank
-from storelens.operators.staging import ensure_checkpoint_dir
+from storelens.operators.staging import checkpoint_home
 from storelens.plans.cart import sendlist
 from storelens.streaming.sink import committed_append
 
@@ -106,8 +106,7 @@ def send_batches(cfg, history_path: str, browser_history: DataFrame, clock):
 def run_to_end(stream: DataFrame, name: str) -> DataFrame:
     """Feeds all data that is there through a stream and returns what came out."""
     spark = stream.sparkSession
-    ensure_checkpoint_dir(spark)
-    home = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    home = f"{checkpoint_home(spark)}/{name}-{uuid.uuid4().hex}"
     query = (
         stream.writeStream.format("parquet")
         .option("path", f"{home}/out")
