@@ -281,9 +281,12 @@ VIEWS: dict[str, str] = {
                     else '2024-01-30 08:00:00' end as scheduled_time
         from events where event_type = 'signup' and user_id % 10 = 3""",
     # feed masters: two versions of every key
-    "versions": """
-        select 0 as v, timestamp '2024-01-01 00:00:00' as imported_at
-        union all select 1, timestamp '2024-01-15 00:00:00'""",
+    "parts2": """
+        select *, 0 as v, timestamp '2024-01-01 00:00:00' as imported_at from part
+        union all select *, 1, timestamp '2024-01-15 00:00:00' from part""",
+    "suppliers2": """
+        select *, timestamp '2024-01-01 00:00:00' as imported_at from supplier
+        union all select *, timestamp '2024-01-15 00:00:00' from supplier""",
     "feed_sku": """
         select 'sku' || cast(p_partkey as string) as item_id,
                'code' || cast(p_partkey as string) as item_code,
@@ -300,7 +303,7 @@ VIEWS: dict[str, str] = {
                case when p_partkey % 6 = 0 then 'LIMITED' else 'FREE' end as allocate_div,
                case when p_partkey % 10 = 9 and v = 1 then 'STOPPED' else 'ACTIVE' end as status,
                imported_at
-        from part cross join versions""",
+        from parts2""",
     "feed_product": """
         select 'item' || cast(p_partkey as string) as item_id,
                'AB-00' || cast(19 + p_partkey % 6 as string) || 'S' || cast(p_partkey as string)
@@ -311,14 +314,14 @@ VIEWS: dict[str, str] = {
                'b' || cast(p_partkey % 30 as string) as brand_id,
                'pb' || cast(p_partkey % 25 as string) as public_brand_id, p_type as category_id,
                imported_at
-        from part cross join versions where p_partkey < 700""",
+        from parts2 where p_partkey < 700""",
     "feed_description": """
         select 'item' || cast(p_partkey as string) as item_id,
                case p_partkey % 5 when 0 then null when 1 then ''
                     else '<p>' || p_name || ' nr' || '\n' || '<b>' || p_brand || '</b></p>' end
                    as description,
                imported_at
-        from part cross join versions where p_partkey < 700 and p_partkey % 11 <> 0""",
+        from parts2 where p_partkey < 700 and p_partkey % 11 <> 0""",
     "feed_sales": """
         select 'sku' || cast(p_partkey as string) as item_id,
                case when p_partkey % 59 = 0 then null else '20240101000000' end
@@ -340,27 +343,27 @@ VIEWS: dict[str, str] = {
                'ACTIVE' as sales_status,
                case when p_partkey % 19 = 0 and v = 1 then '0' else '1' end as publish_flag,
                imported_at
-        from part cross join versions""",
+        from parts2""",
     "feed_stock": """
         select 'sku' || cast(p_partkey as string) as item_id,
                cast(p_size % 10 + v as bigint) as allocatable_stock,
                case when p_partkey % 14 = 0 then 'loc-2' else 'loc-1' end as location_id,
                imported_at
-        from part cross join versions where p_partkey % 12 <> 0""",
+        from parts2 where p_partkey % 12 <> 0""",
     "feed_stock_limit": """
         select 'sku' || cast(p_partkey as string) as item_id,
                cast(p_size % 4 as bigint) as sales_limit_amount, imported_at
-        from part cross join versions where p_partkey % 6 = 0""",
+        from parts2 where p_partkey % 6 = 0""",
     "feed_public_brand": """
         select 'pb' || cast(s_suppkey as string) as brand_id, s_name as brand_name,
                case when s_suppkey % 5 = 0 then null
                     else 'br' || cast(s_suppkey as string) end as brand_url_key,
                imported_at
-        from supplier cross join versions where s_suppkey < 25""",
+        from suppliers2 where s_suppkey < 25""",
     "feed_display_brand": """
         select 'b' || cast(s_suppkey as string) as display_brand_id,
                'Display ' || cast(s_suppkey as string) as display_brand_name, imported_at
-        from supplier cross join versions where s_suppkey % 2 = 0 and s_suppkey < 30""",
+        from suppliers2 where s_suppkey % 2 = 0 and s_suppkey < 30""",
     "feed_category": """
         select p_type as category_id,
                case p_type when 'PROMO' then '' when 'SMALL' then null
