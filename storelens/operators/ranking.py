@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from storelens.operators.staging import stage
@@ -45,6 +46,21 @@ def give_to_all(keys: DataFrame, few: DataFrame) -> DataFrame:
     return keys.select("*", F.explode(items).alias("_item")).select(*keys.columns, "_item.*")
 
 
+#: ranges of cells that are numbered independently
+RANGES = 512
+
+
+def _into_ranges(cells: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Adds ``rng``, the index of the range between two cuts (binary search in the JVM)."""
+    out = None
+    for measure, values in cuts.items():
+        splits = [float("-inf"), *sorted(set(values)), float("inf")]
+        bucketizer = Bucketizer(splits=splits, inputCol="v", outputCol="rng")
+        part = bucketizer.transform(cells.filter(F.col("measure") == measure))
+        out = part if out is None else out.unionByName(part)
+    return cells.withColumn("rng", F.lit(0.0)) if out is None else out
+
+
 def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5) -> DataFrame:
     """Exact ``ntile`` of several measures over the whole table, without one global sort.
 
@@ -73,13 +89,11 @@ def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5)
         .withColumn("cell", F.substring("_md5", 1, 2))
     )
     cells = stage(long.groupBy("measure", "v", "cell").agg(F.count("*").alias("n")))
-    cuts = cells.groupBy("measure").agg(
-        F.percentile_approx("v", [i / 256 for i in range(1, 256)], 2560).alias("cuts")
-    )
-    cells = cells.join(F.broadcast(cuts), "measure").select(
-        "measure", "v", "cell", "n", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("rng")
-    )
-    # at most 256 ranges per measure, so this window is bounded by construction
+    # the cuts are a fixed number of values per measure
+    probabilities = [i / RANGES for i in range(1, RANGES)]
+    cuts = cells.groupBy("measure").agg(F.percentile_approx("v", probabilities).alias("cuts"))
+    cells = _into_ranges(cells, {r.measure: r.cuts for r in cuts.collect()})
+    # at most RANGES ranges per measure, so this window is bounded by construction
     per_range = (
         cells.groupBy("measure", "rng")
         .agg(F.sum("n").alias("rn_rows"))
