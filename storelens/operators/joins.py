@@ -111,7 +111,8 @@ def _heavy_overlap(rows: DataFrame, heavy: DataFrame, min_overlap: int) -> DataF
         .join(tails.select(F.col("e").alias("a"), F.col("tail").alias("ta")), "a", "left")
         .join(tails.select(F.col("e").alias("b"), F.col("tail").alias("tb")), "b", "left")
         .withColumns({"ta": F.coalesce("ta", none), "tb": F.coalesce("tb", none)})
-        .filter(F.col("n") + F.size("ta") + F.size("tb") >= min_overlap)
+        # the overlap cannot be larger than this
+        .filter(F.col("n") + F.size(F.array_union("ta", "tb")) >= min_overlap)
     )
     on_both_tails = candidates.select(
         "a", "b", (F.col("n") + F.size(F.array_intersect("ta", "tb"))).alias("n")
