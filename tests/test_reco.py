@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from registry import reco
 from registry.common import AS_OF, views
 from storelens import config as C
-from storelens.plans.reco import final, learned, similarity
+from storelens.plans.reco import association, final, learned, similarity
 from storelens.plans.reco.base import CANDIDATE_SCHEMA
 
 SF = "/root/testdata/sf0.001"
@@ -114,3 +114,45 @@ def test_similar_products_equal_brute_force(spark, seed):
         got.setdefault(r.base_id, []).append((r.product_id, r.score))
     for base, need in needs.items():
         assert got.get(base, []) == similar_by_hand(products, base, need, 0.2), base
+
+
+def jaccard_by_hand(rows, low, neighbours, top):
+    has = {}
+    for u, p in rows:
+        has.setdefault(u, set()).add(p)
+    totals = {}
+    for u, own in has.items():
+        near = sorted(
+            (-len(own & other) / len(own | other), v)
+            for v, other in has.items()
+            if v != u and len(own & other) >= low
+        )[:neighbours]
+        for j, v in near:
+            for p in has[v] - own:
+                totals.setdefault(u, {}).setdefault(p, []).append(-j)
+    sums = {u: {p: round(math.fsum(js), 9) for p, js in d.items()} for u, d in totals.items()}
+    best = max(x for d in sums.values() for x in d.values())
+    return {
+        (u, p): (rank, round(s / best, 6))
+        for u, d in sums.items()
+        for rank, (s, p) in enumerate(sorted((-s, p) for p, s in d.items())[:top], start=1)
+        for s in [-s]
+    }
+
+
+@pytest.mark.parametrize("heavy", [4, 60, 1_000])
+def test_jaccard_equals_brute_force(spark, monkeypatch, heavy):
+    """With a low limit one neighbour, or several, take the way of heavy ones."""
+    monkeypatch.setattr(association, "HEAVY_NEIGHBOUR", heavy)
+    monkeypatch.setattr(association, "NEIGHBOUR_PART", 7)
+    rng = random.Random(heavy)
+    rows = {(f"u{rng.randrange(25)}", f"p{rng.randrange(60):02d}") for _ in range(260)}
+    rows |= {("hot", f"p{i:02d}") for i in range(0, 70)} | {(f"u{i}", "p00") for i in range(25)}
+    df = spark.createDataFrame(sorted(rows), "member_id string, product_id string")
+    t = {"purchases": df.withColumn("ts", F.lit("2024-01-29 00:00:00").cast("timestamp"))}
+    cfg = C.UserCfConfig(min_common_products=3, max_similar_users=5, top_n=6)
+    got = {
+        (r.key_value, r.product_id): (r.rank_in_logic, round(r.score, 6))
+        for r in association.user_based_cf_jaccard(t, cfg, AS_OF).collect()
+    }
+    assert got == jaccard_by_hand(rows, 3, 5, 6)
