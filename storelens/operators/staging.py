@@ -15,7 +15,9 @@ def checkpoint_home(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+            "spark.checkpoint.dir"
+        )
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="storelens-checkpoint-"))
     return sc.getCheckpointDir()
 
