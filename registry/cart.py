@@ -677,6 +677,53 @@ CHAIN.append(
                        order by scheduled_time desc, s.email) = 1""",
     )
 )
+ASSEMBLED = f"""
+    with items as (
+        select distinct cart_abandon_item_id as item_id, cart_abandon_item_name as item_name,
+               cart_abandon_image_url as image_url, cart_abandon_item_url as item_url,
+               cart_abandon_brand as item_brand, coalesce(low_stock, '') as low
+        from sent join product_stock k on k.item_id = cart_abandon_item_id
+        where cart_abandon_image_url <> '' and cart_abandon_item_url <> '' and is_published = '1'),
+    chosen as (
+        select *, 'prod' || row_number() over (order by item_id) as src from items
+        union all
+        select *, 'low' || row_number() over (order by item_id) from items where low = '1'),
+    usable as (select * from chosen where src like 'low%' or low <> '1'),
+    spec as (
+        select pattern, segment, points, n_reco, unnest(slots) as src,
+               generate_subscripts(slots, 1) as n
+        from (values ('cart1_reco0_lowstock', 'unknown', '0', 0, ['low1']),
+                     ('cart2_reco0_normal', 'f0', '250', 0, ['prod1', 'prod2']),
+                     ('cart3_reco1_mixed', 'f1', '500', 1, ['prod3', 'prod4', 'low2']),
+                     ('cart4_reco2_normal', 'f3plus', '1200', 2, ['prod5', 'prod6', 'prod7', 'prod8']))
+             v(pattern, segment, points, n_reco, slots)),
+    w as (
+        select pattern, any_value(segment) as cart_abandon_rfm_segment, any_value(points) as points,
+               any_value(n_reco) as n_reco,
+               {", ".join(f"coalesce(max({p}) filter (n = {n}), '') as cart_item_seq{n}_{p}" for n in SLOT for _, p in PARTS)},
+               {", ".join(f"coalesce(max(low) filter (n = {n}), '') as low{n}" for n in SLOT)}
+        from spec left join usable using (src) group by pattern),
+    shown as (
+        select {", ".join(f"cart_abandon_recommend_seq{n}_{p} as shown{n}_{p}" for n in (1, 2) for _, p in PARTS)}
+        from sent where cart_abandon_recommend_seq1_image_url <> ''
+             and cart_abandon_recommend_seq2_image_url <> ''
+             and {HANDLE.format("cart_abandon_recommend_seq1_item_url")} in (
+                 select item_id from product_stock where is_published = '1')
+        order by scheduled_time desc, email limit 1),
+    p as (
+        select w.*, {", ".join(f"if(n_reco >= {n}, coalesce(shown{n}_{q}, ''), '') as cart_abandon_recommend_seq{n}_{q}" for n in (1, 2) for _, q in PARTS)},
+               {", ".join(f"'' as cart_abandon_recommend_seq{n}_{q}" for n in (3, 4) for _, q in PARTS)}
+        from w left join shown on n_reco > 0
+        where n_reco = 0 or exists (select 1 from shown))
+    select split_part(r, '@', 1) || '+ca_v2_' || pattern || '-'
+               || sha256(pattern || '|' || r || '|42')[1:3] || '@' || split_part(r, '@', 2) as email,
+           points as pointsapproved, {LOW_FLAG}, {COUPON},
+           {", ".join(f"cart_item_seq{n}_{q}" for n in SLOT for _, q in PARTS)},
+           {", ".join(f"low{n} as cart_item_seq{n}_low_stock" for n in SLOT)},
+           {", ".join(f"cart_abandon_recommend_seq{n}_{q} as recommend_seq{n}_{q}" for n in SLOT for _, q in PARTS)},
+           {", ".join(_stock_of(f"k{n}", f"cart_item_seq{n}", False) + ", " + _stock_of(f"q{n}", f"recommend_seq{n}", False) for n in SLOT)}
+    from p {STOCK_JOINS}
+         cross join (select unnest(string_split('{RECIPIENTS}', ',')) as r) x"""
 LABEL = "rfm_segment || '_' || reco_pattern || '_' || ps_pattern || '_' || pts_pattern"
 SAMPLE_COLUMNS = f"""coalesce(member_name, 'テストユーザー') as member_name,
     coalesce(cast(pointsapproved as varchar), '0') as pointsapproved, {CART_RECO}, {PROFILE}"""
@@ -742,6 +789,7 @@ ORACLES = {
             from sampled cross join (select unnest(string_split('{RECIPIENTS}', ',')) as r) x
             where (rfm_segment, reco_pattern, ps_pattern, pts_pattern) in ({KEPT_ROWS})""",
     ),
+    "M22_fixture_payloads": _chain("sent", f"select * from ({ASSEMBLED}) a"),
     "A15_delivery_batches": f"""
         select b as batch_no, least(100, total - b * 100) as n
         from (select count(*) as total from {SUBSCRIBED}) t,
