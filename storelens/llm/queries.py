@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storelens.llm import line_dedup, pieces, quality, sharding, simhash
+from storelens.llm import (
+    decontamination,
+    line_dedup,
+    lm,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    substring,
+    token_counts,
+    token_files,
+)
+from storelens.operators.staging import staging_path
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,10 +28,26 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text")
 
 
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(documents(spark, sf), table(spark, sf, "labels")).drop("text")
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontamination.find_leaks(documents(spark, sf), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -29,6 +57,12 @@ def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = staging_path(spark, "tokens")
+    token_files.write_tokens(documents(spark, sf), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf).select("doc_id"))
 
@@ -38,12 +72,26 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring.find_repeats(documents(spark, sf)).drop("text_hash")
+    return found.withColumn("repeated", F.col("n_shared_words") > 0)
+
+
+def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
+    "op3_decontamination": op3_decontamination,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_line_dedup": op5_line_dedup,
+    "op6_token_files": op6_token_files,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES = {
