@@ -8,8 +8,10 @@ from storelens.operators.staging import stage
 
 #: a text fails with fewer words, or with a larger share of words in repeated windows
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
-#: hashed features; pseudo-count of each in both multinomials
+#: hashed features; pseudo-count of each in the corpus multinomial
 BUCKETS, SMOOTHING = 10_000, 1
+#: pseudo-counts of the target per bucket on average, spread as the corpus is: what the target has not shown is taken as usual
+PRIOR = 20
 #: log ratios are whole numbers of 1 / UNIT, so sums do not depend on their order
 UNIT = 1 << 20
 #: mean log ratio per feature from which a text is kept
@@ -144,11 +146,12 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_t
         every.join(counts, "bucket", "left").select(
             "bucket",
             (F.coalesce("raw", F.lit(0)) + SMOOTHING).alias("raw"),
-            (F.coalesce("target", F.lit(0)) + SMOOTHING).alias("target"),
+            F.coalesce("target", F.lit(0)).alias("target"),
         )
     )
     total = full.agg(F.sum("raw").alias("r"), F.sum("target").alias("t")).first()
-    ratio = F.log(F.col("target") / F.lit(float(total.t))) - F.log(F.col("raw") / F.lit(float(total.r)))
+    share, prior = F.col("raw") / F.lit(float(total.r)), float(PRIOR * buckets)
+    ratio = F.log((F.col("target") + prior * share) / F.lit(total.t + prior)) - F.log(share)
     return full.select("bucket", F.round(ratio * UNIT).cast("long").alias("ratio"))
 
 
@@ -165,7 +168,7 @@ def judge(
     reaches ``threshold`` times the number of features. A text without words has
     mean 0 and fails the base. Rows are judged one by one: repeated rows and null ids get equal
     verdicts for equal texts. Columns of ``docs`` with the new names are replaced. Without
-    trusted rows the target is flat.
+    trusted rows all ratios are 0 and the base alone decides.
     """
     table = log_ratios(docs, labels, buckets, max_trusted)
     # a row of `buckets` whole numbers, put in order; a bounded constant for all tasks

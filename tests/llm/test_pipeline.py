@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -6,7 +7,7 @@ import sentencepiece
 
 import corpus_pipeline
 from storelens.llm import queries
-from tests.llm.common import documents, prose
+from tests.llm.common import documents
 from tests.llm.test_decontamination import brute as brute_leaks
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_quality import rows_and_labels
@@ -20,12 +21,19 @@ def sf(spark, tmp_path_factory):
     rows, labels = rows_and_labels()
     seen = set()
     rows = [r for r in rows if r[0] is not None and not (r[0] in seen or seen.add(r[0]))]
-    line = "This very line stands in a number of documents, word for word"
-    rows += [(2000 + i, f"{t}\n{line}") for i, t in prose(51, 40, words=200)]
-    rows += [(3000 + i, t + " end") for i, t in enumerate(t for _, t in rows[-40:-20])]
-    items = prose(52, 10, words=50)
-    rows += [(4000 + i, f"{t} and more words of another sort follow {i}") for i, t in items]
+    rng = random.Random(8)
+    vocabulary = [w for _, t in rows[:120] for w in t.split()]
+
+    def text(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+    line = " ".join(vocabulary[:9])
+    rows += [(2000 + i, f"{text(80)}\n{line}") for i in range(40)]
+    rows += [(3000 + i, t) for i, (_, t) in enumerate(rows[-20:])]
+    items = [(i, text(30)) for i in range(10)] + [(10, None)]
+    rows += [(4000 + i, f"{text(20)}\n{t} {text(20)}") for i, t in items[:10]]
     documents(spark, rows).write.parquet(f"{home}/documents.parquet")
+    labels += [(i, 1, 0) for i, _ in rows if i >= 2000]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{home}/labels.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{home}/benchmark.parquet")
     return str(home), rows, items

@@ -58,10 +58,11 @@ def test_counts_and_verdicts_match_brute_force(spark):
         raw.update(f)
         if i in good:
             target.update(f)
-    raw_all, target_all = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    raw_all, target_all, prior = sum(raw.values()) + buckets, sum(target.values()), 20 * buckets
 
     def ratio(b):
-        return round((math.log((target[b] + 1) / target_all) - math.log((raw[b] + 1) / raw_all)) * quality.UNIT)
+        share = (raw[b] + 1) / raw_all
+        return round((math.log((target[b] + prior * share) / (target_all + prior)) - math.log(share)) * quality.UNIT)
 
     want = []
     for i, t in rows:
@@ -83,7 +84,7 @@ def test_edges(spark):
     frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     assert quality.judge(documents(spark, rows).limit(0), frame).count() == 0
     flat = quality.judge(documents(spark, rows), frame.limit(0)).collect()
-    assert len(flat) == len(rows)
+    assert len(flat) == len(rows) and all(r.kept == (not r.base_failed) for r in flat)
     assert quality.trusted_ids(frame, 5).count() == 5
 
 
