@@ -235,7 +235,7 @@ def assembled(spark, sf):
 def batches(spark, sf):
     """Batch sizes of the delivery of all subscribers; only the last may be short."""
     people = payload.subscribers(views(spark, sf, "customers")["customers"])
-    rows = sendlist.delivery_batches(people.select("email"), 100)
+    rows = sendlist.delivery_batches(people.select("email"), 1000)
     return rows.groupBy("batch_no").agg(F.count("*").alias("n"))
 
 
@@ -577,8 +577,8 @@ def _comma(c: str) -> str:
     return f"coalesce(format('{{:,}}', try_cast({c} as bigint)), '')"
 
 
-def _stock_of(alias: str, out: str, low: bool) -> str:
-    on = f"coalesce({alias}.is_available, '') = '1'"
+def _stock_of(alias: str, out: str, low: bool, masked: bool = True) -> str:
+    on = f"coalesce({alias}.is_available, '') = '1'" if masked else "true"
     sale = f"{on} and {alias}.sale_flag = '1'"
     cols = [
         f"if({on}, {_comma(alias + '.taxin_price')}, '') as {out}_price",
@@ -721,7 +721,7 @@ ASSEMBLED = f"""
            {", ".join(f"cart_item_seq{n}_{q}" for n in SLOT for _, q in PARTS)},
            {", ".join(f"low{n} as cart_item_seq{n}_low_stock" for n in SLOT)},
            {", ".join(f"cart_abandon_recommend_seq{n}_{q} as recommend_seq{n}_{q}" for n in SLOT for _, q in PARTS)},
-           {", ".join(_stock_of(f"k{n}", f"cart_item_seq{n}", False) + ", " + _stock_of(f"q{n}", f"recommend_seq{n}", False) for n in SLOT)}
+           {", ".join(_stock_of(f"k{n}", f"cart_item_seq{n}", False, False) + ", " + _stock_of(f"q{n}", f"recommend_seq{n}", False, False) for n in SLOT)}
     from p {STOCK_JOINS}
          cross join (select unnest(string_split('{RECIPIENTS}', ',')) as r) x"""
 LABEL = "rfm_segment || '_' || reco_pattern || '_' || ps_pattern || '_' || pts_pattern"
@@ -791,8 +791,8 @@ ORACLES = {
     ),
     "M22_fixture_payloads": _chain("sent", f"select * from ({ASSEMBLED}) a"),
     "A15_delivery_batches": f"""
-        select b as batch_no, least(100, total - b * 100) as n
+        select b as batch_no, least(1000, total - b * 1000) as n
         from (select count(*) as total from {SUBSCRIBED}) t,
-             (select unnest(range(100000)) as b) x where b * 100 < total""",
+             (select unnest(range(100000)) as b) x where b * 1000 < total""",
 }
 ORACLES = {k: with_views(v) for k, v in ORACLES.items()}

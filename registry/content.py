@@ -46,8 +46,9 @@ def images(spark, sf):
 
 
 def entities(spark, sf):
+    pages = views(spark, sf, "templates")["templates"]
     return content.extract_entities(
-        views(spark, sf, "templates")["templates"], "template_id", "html"
+        pages.select("template_id", content.html_to_text("html").alias("text")), "template_id", "text"
     )
 
 
@@ -138,14 +139,14 @@ def absolute_range(spark, sf):
 
 
 def tiles(spark, sf):
-    """Exact tiles of very uneven and of continuous measures."""
+    """Exact tiles of very uneven and of continuous measures, with missing values and a missing key."""
     part = read_table(configure(spark), sf, "part")
-    return ntiles(
-        part.withColumn("pk", F.col("p_partkey").cast("string")),
-        "pk",
-        {"by_size": F.col("p_size"), "by_price": -F.col("p_retailprice")},
-        7,
+    rows = part.select(
+        F.when(F.col("p_partkey") != 5, F.col("p_partkey").cast("string")).alias("pk"),
+        F.when(F.col("p_size") % 6 != 0, F.col("p_size")).alias("size"),
+        F.when(F.col("p_partkey") % 9 != 0, F.col("p_retailprice")).alias("price"),
     )
+    return ntiles(rows, "pk", {"by_size": F.col("size"), "by_price": -F.col("price")}, 7)
 
 
 def _home(spark):
@@ -234,10 +235,36 @@ QUERIES = {
 BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
+#: references that occur in the data, the ampersand last
+REFERENCES = {
+    "&quot;": '"',
+    "&lt;": "<",
+    "&gt;": ">",
+    "&copy;": "©",
+    "&#169;": "©",
+    "&middot;": "·",
+    "&eacute;": "é",
+    "&#128512;": "😀",
+    "&#x2764;": "❤",
+    "&#xD800;": "\ufffd",
+    "&amp;": "&",
+}
+#: what is compared between the parts of a message
+PATTERNS = {
+    "date": "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}月[0-9]{1,2}日",
+    "time": "[0-9]{1,2}:[0-9]{2}",
+    "amount": "[0-9][0-9,]*円",
+    "discount": "[0-9]+%OFF|[0-9]+,[0-9]+円OFF",
+    "stage": "VIP|GOLD|SILVER|ゴールド|シルバー",
+    "period": "開催期間|まで",
+    "url": r"https?://[^\s\"<>]+",
+}
+
+
 def _unescape(e: str) -> str:
-    for name, value in (*content.ENTITIES.items(), ("#169", "©"), ("amp", "&")):
+    for name, value in REFERENCES.items():
         quoted = value.replace("'", "''")
-        e = f"replace({e}, '&{name};', '{quoted}')"
+        e = f"replace({e}, '{name}', '{quoted}')"
     return e
 
 
@@ -252,17 +279,20 @@ def _text(e: str) -> str:
     return f"trim(regexp_replace({_unescape(e)}, '{BLANKS}', ' ', 'g'))"
 
 
-def _found(source: str, key: str, text: str) -> str:
+def _found(source: str, key: str, text: str, kinds: tuple[str, ...] = tuple(PATTERNS)) -> str:
     return " union ".join(
         f"""select {key}, '{kind}' as kind, unnest(regexp_extract_all({text}, '{pattern}')) as value
             from {source}"""
-        for kind, pattern in content.ENTITY_PATTERNS.items()
+        for kind, pattern in PATTERNS.items()
+        if kind in kinds
     )
 
 
 CONSISTENCY = f"""
     with e as (
-        select *, 'html' as side from ({_found(f"(select template_id, {_text('html')} || ' ' || html as t from templates)", "template_id", "t")})
+        select *, 'html' as side from ({_found(f"(select template_id, {_text('html')} as t from templates)", "template_id", "t")})
+        union
+        select *, 'html' from ({_found("templates", "template_id", "html", ("url",))})
         union all
         select *, 'text' from ({_found("templates", "template_id", "plaintext")})
         union all
@@ -373,10 +403,15 @@ INTERVALS = " union all ".join(
 RANGE = f"""select strftime(ts + interval 9 hours, '%Y-%m-%d') as day,
                    strftime(ts + interval 9 hours, '%H') as hour, count(*) as n
             from clicks where ts < {NOW} - interval 10 days group by all"""
-TILES = """select cast(p_partkey as varchar) as pk,
-                  ntile(7) over (order by p_size, md5(cast(p_partkey as varchar))) as by_size,
-                  ntile(7) over (order by p_retailprice desc, md5(cast(p_partkey as varchar))) as by_price
-           from part"""
+TILES = """
+    with rows as (
+        select if(p_partkey <> 5, cast(p_partkey as varchar), null) as pk,
+               if(p_size % 6 <> 0, p_size, null) as size,
+               if(p_partkey % 9 <> 0, p_retailprice, null) as price
+        from part)
+    select pk, ntile(7) over (order by size nulls last, coalesce(md5(pk), '')) as by_size,
+           ntile(7) over (order by price desc nulls last, coalesce(md5(pk), '')) as by_price
+    from rows"""
 STREAM_SQL = """
     with v as (
         select ts, if(coalesce(td_ssc_id, '') = '', td_client_id, td_ssc_id) as cookie,
@@ -418,7 +453,7 @@ ORACLES = {
     "N6_html_to_text": f"select template_id, {_text('html')} as text from templates",
     "N7_extract_links": LINKS_SQL,
     "N7_extract_images": IMAGES_SQL,
-    "N8_extract_entities": _found("templates", "template_id", "html"),
+    "N8_extract_entities": _found(f"(select template_id, {_text('html')} as t from templates)", "template_id", "t"),
     "N9_content_consistency": CONSISTENCY,
     "N9_sentence_differences": SENTENCES,
     "M25_infer_types": TYPES,

@@ -171,7 +171,12 @@ def probability_query(spark, sf):
 
 
 def rfm_query(spark, sf):
-    return stages.rfm_scores({"purchases": views(spark, sf, "sales")["sales"]}, RFM, AS_OF)
+    """Quintiles where some buyers have no amounts and some purchases no member."""
+    sold = views(spark, sf, "purchases")["purchases"]
+    number = F.col("member_id").cast("int")
+    sold = sold.withColumn("amount", F.when(number % 7 != 0, F.col("amount")))
+    sold = sold.withColumn("member_id", F.when(number % 50 != 1, F.col("member_id")))
+    return stages.rfm_scores({"purchases": sold}, RFM, AS_OF)
 
 
 def _pairs(spark, sf):
@@ -393,9 +398,9 @@ RFM_SQL = f"""
         from purchases where {win(365)} group by member_id),
     scored as (
         select key_value,
-               ntile(5) over (order by recency, md5(key_value)) as r_score,
-               ntile(5) over (order by frequency desc, md5(key_value)) as f_score,
-               ntile(5) over (order by monetary desc, md5(key_value)) as m_score
+               ntile(5) over (order by recency nulls last, coalesce(md5(key_value), '')) as r_score,
+               ntile(5) over (order by frequency desc nulls last, coalesce(md5(key_value), '')) as f_score,
+               ntile(5) over (order by monetary desc nulls last, coalesce(md5(key_value), '')) as m_score
         from base)
     select *, case when greatest(r_score, f_score, m_score) <= 2 then 'loyal'
                    when r_score > 3 and f_score < 3 then 'at_risk'
@@ -615,7 +620,12 @@ ORACLES = {
     "L08_basket_pairs_dense": _round_pairs(_pairs_sql("supplier_id", "sales", 20, 1.0)),
     "L09_attribute_fit": FIT,
     "L10_rfm_stage": RFM_STAGE_SQL,
-    "L10_rfm_scores": RFM_SQL,
+    "L10_rfm_scores": RFM_SQL.replace(
+        "from purchases",
+        """from (select * replace (if(cast(member_id as integer) % 7 <> 0, amount, null) as amount,
+                                   if(cast(member_id as integer) % 50 <> 1, member_id, null) as member_id)
+                 from purchases) n""",
+    ),
     "L12b_user_based_cf_jaccard": JACCARD_SQL,
     "L13_attribute_similarity": SIMILARITY_SQL,
     "L14_time_seasonality": SEASON_SQL,

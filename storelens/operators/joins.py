@@ -7,23 +7,32 @@ from pyspark.sql import DataFrame, functions as F
 from storelens.operators.ranking import topk_per_key
 from storelens.operators.staging import stage
 
-#: rows of the heavy-group list that is broadcast; a fixed bound, not a data size
-HEAVY_GROUPS = 10_000
 #: members of one group that one join task handles together
 GROUP_SLICE = 2_000
+#: rows of one key that one task of a salted join handles together, and salts at most
+SALT_ROWS, MOST_SALTS = 200_000, 4_096
+
+
+def salts_for(big: DataFrame, on: str) -> int:
+    """Salts that keep the largest key of ``big`` below ``SALT_ROWS`` rows each; one number on the driver."""
+    most = big.groupBy(on).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(1, min(MOST_SALTS, -(-most // SALT_ROWS)))
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, on: str, spread_by: str, salts: int = 16
+    big: DataFrame, small: DataFrame, on: str, spread_by: str, salts: int | None = 16, how: str = "inner"
 ) -> DataFrame:
-    """Inner join whose big side may be very uneven on ``on``.
+    """Join whose big (left) side may be very uneven on ``on``.
 
     Each big row goes to one of ``salts`` partitions of its key, chosen by
-    ``spread_by``; the small side is repeated once per salt.
+    ``spread_by``; the small side is repeated once per salt. With ``salts=None`` the
+    number follows the largest key, which costs a count of the keys, so ``big`` should be
+    staged.
     """
+    salts = salts_for(big, on) if salts is None else salts
     left = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [on, "_salt"]).drop("_salt")
+    return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
 def overlap_pairs(df: DataFrame, entity: str, via: str, min_overlap: int) -> DataFrame:
@@ -52,14 +61,8 @@ def overlap_pairs(df: DataFrame, entity: str, via: str, min_overlap: int) -> Dat
         rows.groupBy("v")
         .agg(F.count("*").alias("size"))
         .filter(F.col("size") > GROUP_SLICE)
-        .orderBy(F.desc("size"), "v")
-        .limit(HEAVY_GROUPS)
     )
-    if heavy.isEmpty():
-        pairs = _pairs_of(rows.withColumn("slices", F.lit(1))).withColumnRenamed("n", "overlap")
-        passed = pairs.filter(F.col("overlap") >= min_overlap)
-    else:
-        passed = _heavy_overlap(rows, stage(heavy), min_overlap)
+    passed = _heavy_overlap(rows, stage(heavy), min_overlap)
     return (
         passed.withColumnsRenamed({"a": "_a", "b": "_b"})
         .join(names.select(F.col("id").alias("_a"), F.col("e").alias("a")), "_a")
@@ -94,7 +97,8 @@ def _pairs_of(kept: DataFrame) -> DataFrame:
 
 
 def _heavy_overlap(rows: DataFrame, heavy: DataFrame, min_overlap: int) -> DataFrame:
-    sized = rows.join(F.broadcast(heavy), "v", "left").withColumn(
+    # a written table, so the planner knows its size; larger ones meet ``rows`` in a join that splits hot keys
+    sized = rows.join(heavy, "v", "left").withColumn(
         "size", F.coalesce("size", F.lit(0))
     )
     tail = topk_per_key(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -64,18 +65,19 @@ def _into_ranges(cells: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
 def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5) -> DataFrame:
     """Exact ``ntile`` of several measures over the whole table, without one global sort.
 
-    ``measures`` maps an output name to the ascending sort value. Equal values
-    are ordered by ``md5(key)``. Rows are counted per cell (value, first two hex
+    ``measures`` maps an output name to the ascending sort value; NULL comes after all values. Equal values
+    are ordered by ``md5(key)``, a NULL key before all others. Rows are counted per cell (value, first two hex
     digits of the md5); cells are grouped into ranges of near-equal cell count;
     prefix sums over ranges and cells give each cell its global offset, and
     only rows of one cell are sorted together.
     """
     names = list(measures)
-    df = stage(df.select(F.col(key), *[measures[n].cast("double").alias(n) for n in names]))
+    last = F.lit(float("inf"))  # where NULL is sorted
+    df = stage(df.select(F.col(key), *[F.coalesce(measures[n].cast("double"), last).alias(n) for n in names]))
     long = (
         df.select(
             F.col(key).cast("string").alias("_key"),
-            F.md5(F.col(key).cast("string")).alias("_md5"),
+            F.coalesce(F.md5(F.col(key).cast("string")), F.lit("")).alias("_md5"),
             F.explode(
                 F.array(
                     *[
@@ -92,7 +94,8 @@ def ntiles(df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5)
     # the cuts are a fixed number of values per measure
     probabilities = [i / RANGES for i in range(1, RANGES)]
     cuts = cells.groupBy("measure").agg(F.percentile_approx("v", probabilities).alias("cuts"))
-    cells = _into_ranges(cells, {r.measure: r.cuts for r in cuts.collect()})
+    cuts = {r.measure: [c for c in r.cuts if math.isfinite(c)] for r in cuts.collect()}
+    cells = _into_ranges(cells, cuts)
     # at most RANGES ranges per measure, so this window is bounded by construction
     per_range = (
         cells.groupBy("measure", "rng")

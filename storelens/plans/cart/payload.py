@@ -23,21 +23,30 @@ RECO_STOCK_PARTS = STOCK_PARTS[1:]
 PROFILE_SLOTS = (5, 6, 7, 8)
 
 
-def _stock_columns(stock: DataFrame) -> DataFrame:
-    """Availability and price texts per item; unavailable items have none."""
+def _stock_columns(stock: DataFrame, available_only: bool = True) -> DataFrame:
+    """Availability and price texts per item.
+
+    With ``available_only`` an unavailable item has no prices; its low stock still
+    counts for the mail flag, as ``any_low``.
+    """
     sale = F.col("sale_flag") == "1"
-    return stock.filter(F.col("is_available") == "1").select(
+    shown = F.col("is_available") == "1" if available_only else F.lit(True)
+    columns = {
+        "is_available": F.when(F.col("is_available") == "1", "1"),
+        "low_stock": or_empty("low_stock"),
+        "price": comma_price("taxin_price"),
+        "price_org": comma_price("taxin_compare_at_price"),
+        "sale_flag": F.when(sale, "1").otherwise(""),
+        "discount_rate": F.when(sale, or_empty("discount_rate")).otherwise(""),
+    }
+    return stock.select(
         "item_id",
-        F.lit("1").alias("is_available"),
-        or_empty("low_stock").alias("low_stock"),
-        comma_price("taxin_price").alias("price"),
-        comma_price("taxin_compare_at_price").alias("price_org"),
-        F.when(sale, "1").otherwise("").alias("sale_flag"),
-        F.when(sale, or_empty("discount_rate")).otherwise("").alias("discount_rate"),
+        or_empty("low_stock").alias("any_low"),
+        *[F.when(shown, c).alias(name) for name, c in columns.items()],
     )
 
 
-def with_stock(push: DataFrame, stock: DataFrame) -> DataFrame:
+def with_stock(push: DataFrame, stock: DataFrame, available_only: bool = True) -> DataFrame:
     """Adds, for every cart and recommendation slot, availability, price and sale columns.
 
     The eight slots become rows, meet the stock table in one join, and become
@@ -58,15 +67,7 @@ def with_stock(push: DataFrame, stock: DataFrame) -> DataFrame:
         .select("email", "s.slot", product_handle("s.url").alias("item_id"))
         .filter(F.col("item_id").isNotNull())
     )
-    # NB low stock counts for the mail flag even when the item is not available
-    looked_up = salted_join(
-        long,
-        stock.select("item_id", or_empty("low_stock").alias("any_low")).join(
-            _stock_columns(stock), "item_id", "left"
-        ),
-        "item_id",
-        "email",
-    )
+    looked_up = salted_join(long, _stock_columns(stock, available_only), "item_id", "email")
     names = [f"{kind}{n}" for n in SLOTS for kind in ("cart", "reco")]
     wide = looked_up.groupBy("email").agg(
         F.max(F.when(F.col("slot").startswith("cart"), F.col("any_low"))).alias("any_low"),
@@ -420,7 +421,7 @@ def fixture_payloads(
         {f"cart_item_seq{n}_{p}": or_empty(f"cart_item_seq{n}_{p}") for n in SLOTS for p in PARTS}
     )
     # the pattern name stands for the person in the stock lookup
-    priced = with_stock(rows.withColumn("email", F.col("pattern")), stock)
+    priced = with_stock(rows.withColumn("email", F.col("pattern")), stock, available_only=False)
     tag = F.substring(
         F.sha2(F.concat_ws("|", "pattern", "email_address", F.lit(str(seed))), 256), 1, 3
     )

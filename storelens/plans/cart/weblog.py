@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from storelens.functions.text import extract, not_blank, plain_vowels, url_part
 from storelens.functions.timewin import in_range, in_window, local_format
+from storelens.operators.joins import salted_join
 from storelens.operators.sessions import sessionize
 
 # Ids and names that mark traffic to leave out.
@@ -95,7 +96,7 @@ def add_geography(df: DataFrame, ranges: DataFrame, ip: str = "td_ip") -> DataFr
 
     Ranges (lo, hi) do not overlap. Each is cut at /16 blocks, so the lookup is
     an equi-join on the block plus a comparison. Only the distinct addresses are
-    looked up, which keeps one very common address from weighing more than another.
+    looked up, and the events of one very common address are spread over salts.
     """
     block = 65536
     cut = ranges.withColumn(
@@ -116,7 +117,7 @@ def add_geography(df: DataFrame, ranges: DataFrame, ip: str = "td_ip") -> DataFr
             F.col("city").alias("ip_city"),
         )
     )
-    return df.join(known, ip, "left")
+    return salted_join(df, known, ip, "ts", how="left")
 
 
 def is_human(df: DataFrame) -> Column:

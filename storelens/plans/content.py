@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storelens.functions.text import extract
 
-# Named entities that mail templates use.
-ENTITIES = {
-    "nbsp": " ",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "copy": "©",
-    "reg": "®",
-    "yen": "¥",
-    "hellip": "…",
-    "mdash": "—",
-    "ndash": "–",
-    "laquo": "«",
-    "raquo": "»",
-}
+#: named character references that end in a semicolon, from the standard library's table
+NAMES = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
 
 # What is compared between the parts of a message, by kind.
 ENTITY_PATTERNS = {
@@ -37,22 +27,36 @@ ENTITY_PATTERNS = {
 SPACE = r"(?U)\s+"
 
 
-def decode_entities(text: Column) -> Column:
-    """Named and decimal character references."""
-    for name, value in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(value))
+REFERENCE = r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
-    def put(acc: Column, code: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
-        return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
 
-    def numeric(t: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(t, F.lit("&#([0-9]{1,5});"), F.lit(1)))
-        return F.when(t.contains("&#"), F.aggregate(codes, t, put)).otherwise(t)
+def _reference(part: Column) -> Column:
+    """A stretch that starts with ``&``, its character reference replaced by what it stands for.
+
+    Numbers that are no character give U+FFFD; unknown names stay as they are.
+    """
+    name = F.regexp_extract(part, REFERENCE, 1)
+    digits = F.when(
+        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)
+    ).otherwise(F.substring(name, F.lit(2), F.length(name)))
+    code = F.coalesce(digits.try_cast("bigint"), F.lit(0))
+    is_character = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.when(is_character, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+    named = F.try_element_at(F.from_json(F.lit(json.dumps(NAMES)), "map<string,string>"), name)
+    value = F.when(name.startswith("#"), char).otherwise(named)
+    rest = F.substring(part, F.length(name) + 3, F.length(part))
+    return F.when((name == "") | value.isNull(), part).otherwise(F.concat(value, rest))
+
+
+def decode_entities(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references, each decoded once."""
+
+    def decoded(t: Column) -> Column:
+        parts = F.transform(F.split(t, "(?=&)"), _reference)
+        return F.when(t.contains("&"), F.array_join(parts, "")).otherwise(t)
 
     # the lambda variable holds the text, so it is computed once however often it is used
-    decoded = F.get(F.transform(F.array(text), numeric), F.lit(0))
-    return F.replace(decoded, F.lit("&amp;"), F.lit("&"))
+    return F.get(F.transform(F.array(text), decoded), F.lit(0))
 
 
 def html_to_text(html: Column | str) -> Column:
@@ -97,14 +101,14 @@ def extract_images(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     )
 
 
-def _entities(text: Column) -> Column:
+def _entities(text: Column, kinds: Sequence[str] = tuple(ENTITY_PATTERNS)) -> Column:
     """Array of (kind, value) of the distinct entities of a text."""
 
     def of_kind(kind: str, pattern: str) -> Column:
         values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    return F.concat(*[of_kind(k, p) for k, p in ENTITY_PATTERNS.items()])
+    return F.concat(*[of_kind(k, ENTITY_PATTERNS[k]) for k in kinds])
 
 
 def extract_entities(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -125,17 +129,22 @@ def content_consistency(templates: DataFrame, key: str = "template_id") -> DataF
     round, ``subject_only`` in the subject but in neither body.
     """
     empty = F.lit("")
-    # addresses are attributes, so the markup itself is searched for them too
+    # addresses are attributes, so for them, and them alone, the markup itself is searched too
+    kinds = [k for k in ENTITY_PATTERNS if k != "url"]
     texts = {
-        "html": F.concat_ws(" ", html_to_text("html"), "html"),
-        "text": F.coalesce("plaintext", empty),
-        "subject": F.coalesce("subject", empty),
+        "html": [(html_to_text("html"), tuple(ENTITY_PATTERNS)), (F.coalesce("html", empty), ("url",))],
+        "text": [(F.coalesce("plaintext", empty), (*kinds, "url"))],
+        "subject": [(F.coalesce("subject", empty), (*kinds, "url"))],
     }
-    sides = F.array(*[F.struct(F.lit(s).alias("side"), c.alias("t")) for s, c in texts.items()])
-    long = templates.select(key, F.explode(sides).alias("p")).select(key, "p.side", "p.t")
-    parts = long.select(key, "side", F.explode(_entities(F.col("t"))).alias("e")).select(
-        key, "side", "e.kind", "e.value"
-    )
+
+    def on_side(side: str, text: Column, found: Sequence[str]) -> Column:
+        def row(e: Column) -> Column:
+            return F.struct(F.lit(side).alias("side"), e["kind"].alias("kind"), e["value"].alias("value"))
+
+        return F.transform(_entities(text, found), row)
+
+    sides = F.concat(*[on_side(side, text, found) for side, sources in texts.items() for text, found in sources])
+    parts = templates.select(key, F.explode(sides).alias("p")).select(key, "p.*")
     flags = parts.groupBy(key, "kind", "value").agg(
         *[F.max(F.col("side") == s).alias(f"in_{s}") for s in SIDES]
     )

@@ -127,8 +127,8 @@ def join_masters(m: dict[str, DataFrame]) -> DataFrame:
 
 def discount_rate() -> Column:
     """Discount in per cent, rounded to tens; 0 for a price of zero."""
-    price = F.col("retail_price_in_tax").cast("double")
-    sale = F.col("sale_price_in_tax").cast("double")
+    price = F.col("retail_price_in_tax").try_cast("double")
+    sale = F.col("sale_price_in_tax").try_cast("double")
     # cut the noise of the division first, so that 45 % is 45 and rounds up
     rate = F.round((F.lit(1.0) - F.try_divide(sale, price)) * 100, 9)
     return F.when(price == 0, F.lit(0.0)).otherwise(F.round(rate, -1))
@@ -141,7 +141,7 @@ def base_feed(t: dict, cfg, as_of: datetime) -> DataFrame:
     stock = F.coalesce(
         F.when(F.col("allocate_div") == "LIMITED", F.col("sales_limit_amount"))
         .otherwise(F.col("allocatable_stock"))
-        .cast("bigint"),
+        .try_cast("bigint"),
         F.lit(0),
     )
     reserved = F.coalesce(F.col("reserve_flag") == "1", F.lit(False))

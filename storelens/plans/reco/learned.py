@@ -30,7 +30,7 @@ FEATURES = [
 def _stitched(t: Tables, cfg, as_of: datetime) -> DataFrame:
     """Web events with the member their cookie belongs to."""
     rows = in_window(t["weblog"], cfg.window, as_of, cfg.tz).drop("member_id")
-    return rows.join(t["id_mapping"].select("member_id", "cookie"), "cookie")
+    return salted_join(rows, t["id_mapping"].select("member_id", "cookie"), "cookie", "ts")
 
 
 def ml_features(t: Tables, cfg, as_of: datetime) -> DataFrame:

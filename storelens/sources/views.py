@@ -210,7 +210,7 @@ VIEWS: dict[str, str] = {
                brand_name, price, price, 0
         from items where k % 10 = 3""",
     "product_stock": """
-        select item_id, case when size_no % 10 = 0 then '0' else '1' end as is_available,
+        select item_id, case when size_no % 10 = 0 or size_no % 7 = 3 then '0' else '1' end as is_available,
                case when size_no % 10 in (1, 2) then '1' else '' end as low_stock,
                case when k % 29 = 0 then 'n/a' else cast(price as string) end as taxin_price,
                cast(price + 1100 as string) as taxin_compare_at_price,
@@ -236,7 +236,7 @@ VIEWS: dict[str, str] = {
         group by a.k, b.k""",
     "user_items": """
         select distinct user_id, @k(props) as k
-        from events where event_type = 'purchase' and ts >= timestamp '2024-01-25 00:00:00'""",
+        from events where event_type = 'purchase' and ts >= timestamp '2024-01-01 00:00:00'""",
     "fbt": """
         select cast(a.k as string) as item_a,
                case when b.k % 31 = 0 then '' else 'h' || cast(b.k as string) end
@@ -290,7 +290,7 @@ VIEWS: dict[str, str] = {
     "feed_sku": """
         select 'sku' || cast(p_partkey as string) as item_id,
                'code' || cast(p_partkey as string) as item_code,
-               'item' || cast(p_partkey % 700 as string) as parent_item_id,
+               'item' || cast(cast(floor(p_partkey / 3) as bigint) as string) as parent_item_id,
                cast(cast(floor(p_retailprice) as bigint) as string) as retail_price_out_tax,
                case when p_partkey % 41 = 0 then '0'
                     else cast(cast(floor(p_retailprice) as bigint) + 90 * v as string) end
@@ -314,14 +314,14 @@ VIEWS: dict[str, str] = {
                'b' || cast(p_partkey % 30 as string) as brand_id,
                'pb' || cast(p_partkey % 25 as string) as public_brand_id, p_type as category_id,
                imported_at
-        from parts2 where p_partkey < 700""",
+        from parts2""",
     "feed_description": """
         select 'item' || cast(p_partkey as string) as item_id,
                case p_partkey % 5 when 0 then null when 1 then ''
                     else '<p>' || p_name || ' nr' || '\n' || '<b>' || p_brand || '</b></p>' end
                    as description,
                imported_at
-        from parts2 where p_partkey < 700 and p_partkey % 11 <> 0""",
+        from parts2 where p_partkey % 11 <> 0""",
     "feed_sales": """
         select 'sku' || cast(p_partkey as string) as item_id,
                case when p_partkey % 59 = 0 then null else '20240101000000' end
@@ -359,11 +359,11 @@ VIEWS: dict[str, str] = {
                case when s_suppkey % 5 = 0 then null
                     else 'br' || cast(s_suppkey as string) end as brand_url_key,
                imported_at
-        from suppliers2 where s_suppkey < 25""",
+        from suppliers2""",
     "feed_display_brand": """
         select 'b' || cast(s_suppkey as string) as display_brand_id,
                'Display ' || cast(s_suppkey as string) as display_brand_name, imported_at
-        from suppliers2 where s_suppkey % 2 = 0 and s_suppkey < 30""",
+        from suppliers2 where s_suppkey % 2 = 0""",
     "feed_category": """
         select p_type as category_id,
                case p_type when 'PROMO' then '' when 'SMALL' then null
@@ -381,7 +381,9 @@ VIEWS: dict[str, str] = {
                    || '%OFF! <a class="b" href="https://shop.example.com/p/'
                    || cast(page_id as string) || '?a=1&amp;b=2">GOLD &amp; <b>VIP</b></a>'
                    || '<img src="https://img.example.com/' || cast(page_id as string)
-                   || '.png" alt="&lt;x&gt; &amp; &#169;"><img src=/plain.gif></p>' as html,
+                   || '.png" alt="&lt;x&gt; &amp; &#169;"><img src=/plain.gif></p>'
+                   || '<i data-t="11:00" class="SILVER" title="2023/9/9">&#128512; &#x2764; &eacute;'
+                   || ' &amp;lt; &#xD800; &nosuch; a&b</i>' as html,
                '開催期間 2024/1/'
                    || cast(case when page_id % 4 = 1 then 30 else page_id % 28 + 1 end as string)
                    || ' 10:00まで。1,' || cast(100 + page_id % 900 as string) || '円 '
