@@ -94,7 +94,59 @@ QUERIES = {
     "op10_lm_scores": op10_lm_scores,
 }
 
+UPPER, LOWER = line_dedup.UPPER, line_dedup.LOWER
+WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS = f"""
+    with docs as (select doc_id, {WORDS} as w from documents),
+    items as (select coalesce(cast(item_id as varchar), '') as item_id, {WORDS} as w from benchmark),
+    item_windows as (
+        select distinct item_id, size, array_to_string(w[a + 1 : a + size], ' ') as win
+        from (select item_id, w, least(10, len(w)) as size, unnest(range(len(w) - least(10, len(w)) + 1)) as a
+              from items where len(w) > 0) i),
+    doc_windows as (
+        select doc_id, a, size, array_to_string(w[a + 1 : a + size], ' ') as win
+        from (select doc_id, w, size, unnest(range(greatest(len(w) - size + 1, 0))) as a
+              from docs cross join (select distinct size from item_windows) s) d),
+    hits as (select doc_id, a, size, item_id from doc_windows join item_windows using (size, win)),
+    words as (
+        select doc_id, count(distinct p) as n
+        from (select doc_id, unnest(range(a, a + size)) as p from (select distinct doc_id, a, size from hits) h) x
+        group by doc_id),
+    named as (
+        select doc_id, count(*) as n, string_agg(item_id, ',' order by item_id) as ids
+        from (select distinct doc_id, item_id from hits) h group by doc_id)
+    select doc_id, len(w) as n_words, coalesce(words.n, 0) as n_hit, coalesce(named.n, 0) as n_items,
+           sha256(coalesce(ids, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+    from docs left join words using (doc_id) left join named using (doc_id)"""
+
+
+def _digits(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, {sharding.DIGITS}))::bigint"
+
+
+#: the table is filled turn by turn in a recursion that keeps its last state alone
+SHARDS = f"""
+    with recursive names as (
+        select i, 'shard-' || lpad(cast(i as varchar), 4, '0') as name from range({sharding.SHARDS}) r(i)),
+    orders as (
+        select i, list_transform(range({sharding.SLOTS}),
+                                 lambda j: cast((first + j * skip) % {sharding.SLOTS} as smallint)) as slots
+        from (select i, {_digits("'offset|' || name")} % {sharding.SLOTS} as first,
+                     {_digits("'skip|' || name")} % {sharding.SLOTS - 1} + 1 as skip from names) n),
+    turns(one, k, owner) using key (one) as (
+        select 1, 0, list_transform(range({sharding.SLOTS}), lambda x: cast(-1 as smallint))
+        union
+        select 1, k + 1, list_transform(owner, lambda o, p: if(p = free + 1, cast(k % {sharding.SHARDS} as smallint), o))
+        from (select t.k, t.owner, list_filter(o.slots, lambda s: t.owner[s + 1] < 0)[1] as free
+              from turns t join orders o on o.i = t.k % {sharding.SHARDS} where t.k < {sharding.SLOTS}) q)
+    select doc_id, cast(slot as integer) as slot, name as shard
+    from (select doc_id, {_digits("coalesce(cast(doc_id as varchar), '')")} % {sharding.SLOTS} as slot from documents) d
+         cross join turns join names on names.i = owner[slot + 1]"""
+
 ORACLES = {
+    "op3_decontamination": LEAKS,
+    "op7_sharding": SHARDS,
     "op5_line_dedup": """
         with lines as (
             select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
