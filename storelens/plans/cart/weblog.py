@@ -151,7 +151,7 @@ def visits(events: DataFrame) -> DataFrame:
     return (
         rows.filter(is_human(rows))
         .withColumns(visit_columns())
-        .select("ts", "cookie", "user_id", "td_path", "items", "ecommerce")
+        .select("ts", "event_id", "cookie", "user_id", "td_path", "items", "ecommerce")
     )
 
 

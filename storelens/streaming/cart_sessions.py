@@ -1,74 +1,142 @@
-"""Cart sessions from a stream of web events (Structured Streaming).
+"""Abandoned carts from a stream of web events (Structured Streaming).
 
-The batch job re-reads the current day every hour. Here the session state is
-kept by Spark; a session comes out once the watermark has passed its end, so it
-is idle by then, and rows later than the watermark are left to the night batch.
+The batch job re-reads the current day every hour. Here the open sessions are
+state by cookie, and an event-time timer releases a cart as soon as its visitor has
+been idle for ``idle_minutes``. Rows later than the watermark are left to the night batch.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import json
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from storelens.functions.text import not_blank
-from storelens.operators.staging import checkpoint_home
+from storelens.operators.shipping import ship
+from storelens.operators.staging import staging_path
 from storelens.plans.cart import sendlist
 from storelens.streaming.sink import committed_append
 
-
-def session_state(events: DataFrame, cfg, delay: str = "20 minutes") -> DataFrame:
-    """One row per closed session without purchase: user and the cart as seen last.
-
-    ``events`` has ts, cookie, user_id, td_path, items and ecommerce. Works on a
-    stream (append mode) and, for checks, on a static table.
+MICROS = 1_000_000
+STATE = "start bigint, last bigint, n bigint, user string, bought boolean, told boolean, cart string"
+OUT = (
+    "session_id string, cookie string, user_id_comp string, session_start timestamp, "
+    "last_session_time timestamp, n bigint, items string"
+)
+ITEM = "array<struct<item_id:string,item_name:string,item_category:string>>"
+
+
+def _listed(items: Column) -> Column:
+    """Items of a page in order; nothing where the text is no list."""
+    listed = F.from_json(items, "array<string>")
+    fields = ("item_id", "item_name", "item_category")
+    return F.transform(listed, lambda x: F.struct(*[F.get_json_object(x, f"$.{f}").alias(f) for f in fields]))
+
+
+class _Session:
+    """A session so far; ``cart`` has the newest row of every item: time, place, event, name, category."""
+
+    def __init__(self, state: tuple) -> None:
+        self.start, self.last, self.n, self.user, self.bought, self.told, cart = state
+        self.cart: dict[str, list] = json.loads(cart)
+
+    def state(self) -> tuple:
+        return (self.start, self.last, self.n, self.user, self.bought, self.told, json.dumps(self.cart))
+
+    @staticmethod
+    def opened(at: int) -> _Session:
+        return _Session((at, at, 0, None, False, False, "{}"))
+
+    def add(self, at: int, event: int, user: str | None, bought: bool, listed: str | None) -> None:
+        self.last, self.n, self.told = at, self.n + 1, False
+        self.bought |= bought
+        if isinstance(user, str) and (self.user is None or user > self.user):
+            self.user = user
+        for place, item in enumerate(json.loads(listed) if isinstance(listed, str) else []):
+            name = (item or {}).get("item_id")
+            if not name:
+                continue
+            row = [at, -place, event, item.get("item_name"), item.get("item_category")]
+            if name not in self.cart or row[:3] > self.cart[name][:3]:
+                self.cart[name] = row
+
+    def release(self, cookie: str) -> list[tuple]:
+        """The cart, unless there is none, it was bought, or it was released since the last event."""
+        due = not (self.told or self.bought) and bool(self.cart)
+        self.told = True
+        if not due:
+            return []
+        newest = sorted(self.cart.items(), key=lambda x: x[1][:3], reverse=True)
+        items = [{"item_id": k, "item_name": v[3], "item_category": v[4]} for k, v in newest]
+        code = hashlib.sha256(f"{cookie}|{self.start // MICROS}".encode()).hexdigest()
+        start, last = (pd.Timestamp(t, unit="us") for t in (self.start, self.last))
+        return [(code, cookie, self.user, start, last, self.n, json.dumps(items))]
+
+
+def due_carts(events: DataFrame, cfg, delay: str = "1 minute") -> DataFrame:
+    """A row for each time a session with a cart and no purchase falls idle.
+
+    ``events`` is a stream of ts, event_id, cookie, user_id, td_path, items and
+    ecommerce. A session ends at a pause of more than ``session_gap_seconds``; a visitor who
+    comes back before that continues it, and its cart may fall due once more. The cart holds the
+    newest row of every item seen in the session, newest items first.
     """
-    gap = f"{cfg.session_gap_seconds} seconds"
-    in_cart = (F.col("td_path") == cfg.cart_path) & F.col("items").isNotNull()
-    sessions = (
-        events.withWatermark("ts", delay)
-        .groupBy("cookie", F.session_window("ts", gap))
-        .agg(
-            F.max("user_id").alias("user_id_comp"),
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("last_ts"),
-            F.count("*").alias("n"),
-            F.max(not_blank("ecommerce")).alias("bought"),
-            F.max(F.when(in_cart, F.struct("ts", "items")))["items"].alias("items"),
+    idle, gap = cfg.idle_minutes * 60 * MICROS, cfg.session_gap_seconds * MICROS
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        cookie, out = key[0], []
+        now = state.getCurrentWatermarkMs() * 1000
+        session = _Session(state.get) if state.exists else None
+        if state.hasTimedOut:
+            out += session.release(cookie)
+        else:
+            rows = pd.concat(list(parts))
+            rows["at"] = rows["ts"].astype("datetime64[us]").astype("int64")
+            # Spark itself drops what is older than the watermark of the batch before
+            for r in rows[rows["at"] >= now].sort_values(["at", "event_id"]).itertuples():
+                if session is not None and r.at - session.last > idle:
+                    out += session.release(cookie)
+                    if r.at - session.last > gap:
+                        session = None
+                session = session or _Session.opened(r.at)
+                session.add(r.at, r.event_id, r.user_id, bool(r.bought), r.listed)
+        if session is not None and now > session.last + idle:
+            out += session.release(cookie)
+        if session is None or now > session.last + gap:
+            if state.exists:
+                state.remove()
+        else:
+            state.update(session.state())
+            state.setTimeoutTimestamp((session.last + (gap if session.told else idle)) // 1000 + 1)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
+
+    ship(events.sparkSession)
+    in_cart = F.col("td_path") == cfg.cart_path
+    return (
+        events.select(
+            F.col("ts").cast("timestamp").alias("ts"),
+            "event_id",
+            "cookie",
+            "user_id",
+            not_blank("ecommerce").alias("bought"),
+            F.when(in_cart, F.to_json(_listed(F.col("items")))).alias("listed"),
         )
-    )
-    return sessions.filter(~F.col("bought") & F.col("items").isNotNull()).select(
-        F.sha2(
-            F.concat_ws("|", "cookie", F.unix_seconds("first_ts").cast("string")), 256
-        ).alias("session_id"),
-        "cookie",
-        "user_id_comp",
-        F.col("first_ts").alias("session_start"),
-        F.col("last_ts").alias("last_session_time"),
-        "n",
-        "items",
+        .withWatermark("ts", delay)
+        .groupBy("cookie")
+        .applyInPandasWithState(run, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
 
 
 def cart_items(sessions: DataFrame, cfg) -> DataFrame:
-    """Up to ``max_items`` numbered items of each closed session; duplicates keep the first."""
-    listed = F.from_json("items", "array<string>")
-    pairs = F.transform(
-        listed,
-        lambda x: F.struct(
-            F.get_json_object(x, "$.item_id").alias("item_id"),
-            F.get_json_object(x, "$.item_name").alias("item_name"),
-            F.get_json_object(x, "$.item_category").alias("item_category"),
-        ),
-    )
-    usable = F.filter(pairs, lambda p: F.coalesce(p["item_id"], F.lit("")) != "")
-    ids = F.array_distinct(F.transform(usable, lambda p: p["item_id"]))
-    first = F.transform(
-        F.slice(ids, 1, cfg.max_items),
-        lambda i: F.element_at(F.filter(usable, lambda p: p["item_id"] == i), 1),
-    )
-    rows = sessions.select("*", F.posexplode(first).alias("_pos", "_item"))
+    """Up to ``max_items`` numbered items of each released cart."""
+    items = F.slice(F.from_json("items", ITEM), 1, cfg.max_items)
+    rows = sessions.select("*", F.posexplode(items).alias("_pos", "_item"))
     return rows.select(
         "session_id",
         F.col("user_id_comp").alias("email"),
@@ -106,7 +174,7 @@ def send_batches(cfg, history_path: str, browser_history: DataFrame, clock):
 def run_to_end(stream: DataFrame, name: str) -> DataFrame:
     """Feeds all data that is there through a stream and returns what came out."""
     spark = stream.sparkSession
-    home = f"{checkpoint_home(spark)}/{name}-{uuid.uuid4().hex}"
+    home = staging_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .option("path", f"{home}/out")

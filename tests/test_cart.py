@@ -6,7 +6,6 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from registry.common import AS_OF, views
 from storelens.config import CartConfig
 from storelens.plans.cart import payload, sendlist, targets, weblog
 from storelens.streaming import cart_sessions
@@ -227,12 +226,51 @@ def test_stream_batches_count_once(spark, tmp_path):
     assert sorted((r.email, r.batch_id) for r in got) == [("u1", 0), ("u2", 0)]
 
 
-def test_stream_agrees_with_batch_sessions(spark):
-    t = views(spark, "/root/testdata/sf0.001", "source_web_events")
-    static = cart_sessions.session_state(weblog.visits(t["source_web_events"]), CFG)
-    from registry.content import stream_sessions
+STREAM_SCHEMA = "ts timestamp, event_id bigint, cookie string, user_id string, td_path string, items string, ecommerce string"
 
-    streamed = {r.session_id for r in stream_sessions(spark, "/root/testdata/sf0.001").collect()}
-    every = {r.session_id for r in static.select("session_id").collect()}
-    assert streamed and streamed <= every and len(every - streamed) <= 3
-    assert AS_OF.tzinfo is not None
+
+def _streamed(spark, tmp_path, *files):
+    """Released carts of a stream that reads the files one by one; minutes after noon stand for times."""
+    home = tmp_path / "events"
+    for no, rows in enumerate(files):
+        full = [
+            (datetime(2024, 1, 30, 12, tzinfo=timezone.utc) + timedelta(minutes=m), n, cookie, user, path, items, buy)
+            for m, n, cookie, user, path, items, buy in rows
+        ]
+        spark.createDataFrame(full, STREAM_SCHEMA).coalesce(1).write.parquet(f"{home}/{no}")
+        for f in (home / str(no)).glob("part-*"):
+            f.rename(home / f"{no}.parquet")
+    stream = spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{home}/*.parquet")
+    out = cart_sessions.run_to_end(cart_sessions.due_carts(stream, CFG.but(session_gap_seconds=1800)), "test")
+    items = cart_sessions.cart_items(out, CFG)
+    return sorted((r.email, r.last_item_id, r.seq_no) for r in items.collect())
+
+
+def _cart(*names):
+    return json.dumps([{"item_id": n, "item_name": n.lower(), "item_category": "c"} for n in names])
+
+
+def test_streamed_cart_has_every_item_of_the_session(spark, tmp_path):
+    rows = [
+        (0, 1, "a", "ua", "/cart", _cart("A"), None),
+        (5, 2, "a", None, "/cart", _cart("B", "C"), None),
+        (6, 3, "a", None, "/cart", "no list", None),
+        (0, 4, "b", "ub", "/cart", _cart("A"), None),
+        (3, 5, "b", "ub", "/thanks", None, "order"),
+        (40, 6, "clock", "uc", "/", None, None),
+    ]
+    assert _streamed(spark, tmp_path, rows) == [("ua", "A", 3), ("ua", "B", 1), ("ua", "C", 2)]
+
+
+def test_a_cart_comes_out_twenty_minutes_after_its_last_event(spark, tmp_path):
+    first = [(0, 1, "a", "ua", "/cart", _cart("A"), None), (0, 2, "clock", "uc", "/", None, None)]
+    for minute, released in ((20, []), (22, [("ua", "A", 1)])):
+        clock = [(minute, 3, "clock", "uc", "/", None, None)]
+        assert _streamed(spark, tmp_path / str(minute), first, clock) == released
+
+
+def test_late_rows_are_left_to_the_batch(spark, tmp_path):
+    first = [(0, 1, "a", "ua", "/cart", _cart("A"), None), (60, 2, "clock", "uc", "/", None, None)]
+    late = [(2, 3, "a", "ua", "/cart", _cart("LATE"), None), (3, 4, "z", "uz", "/cart", _cart("Z"), None)]
+    clock = [(120, 5, "clock", "uc", "/", None, None)]
+    assert _streamed(spark, tmp_path, first, late, clock) == [("ua", "A", 1)]
