@@ -2,35 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-import storelens
+from storelens.operators.shipping import ship
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package's code to the executors, once per application.
-
-    Spark's file server hands it out; only the driver reads the archive it writes.
-    """
-    app = spark.sparkContext.applicationId
-    home = Path(storelens.__file__).parent
-    if app in _SHIPPED or not home.is_dir():
-        return
-    archive = Path(tempfile.mkdtemp(prefix="storelens-code-")) / "storelens.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(home.rglob("*.py")):
-            z.write(f, f.relative_to(home.parent))
-    spark.sparkContext.addPyFile(str(archive))
-    _SHIPPED.add(app)
+__all__ = ["map_batches", "ship"]
 
 
 def map_batches(
