@@ -27,31 +27,31 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE), lambda w: w != "")
 
 
-def _low_bits(n: Column) -> Column:
-    """As many low bits as a place among ``n`` words needs."""
-    return F.length(F.bin(n))
+def _place_mask(n: Column) -> Column:
+    """As many low bits set as a place among ``n`` words needs."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(n))) - 1
 
 
-def _packed(grams: Column, n: Column) -> Column:
+def _packed(grams: Column, mask: Column) -> Column:
     """Windows' hashes in sorted order, each one long with the window's place in the low bits."""
-    bits = _low_bits(n)
+    bits = F.bit_count(mask)
     return F.sort_array(
         F.transform(grams, lambda g, i: F.call_function("shiftleft", g, bits).bitwiseOR(i.cast("long")))
     )
 
 
-def _repeated(packed: Column, grams: Column, n: Column) -> Column:
+def _repeated(packed: Column, grams: Column, mask: Column) -> Column:
     """Places, in order, of the windows that stand at least twice in the text.
 
-    Windows found twice are neighbours in ``packed``; neighbours are compared by their whole hashes.
+    Windows found twice are neighbours in ``packed``; neighbours that agree there are compared by their whole hashes.
     """
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), _low_bits(n)) - 1
 
     def place(x: Column) -> Column:
         return x.bitwiseAND(mask).cast("int")
 
     def same(x: Column, y: Column) -> Column:
-        return F.coalesce(F.get(grams, place(x)) == F.get(grams, place(y)), F.lit(False))
+        near = x.bitwiseXOR(y).between(F.lit(0), mask)
+        return F.coalesce(near & (F.get(grams, place(x)) == F.get(grams, place(y))), F.lit(False))
 
     twins = F.filter(
         packed, lambda x, j: same(x, F.get(packed, j - 1)) | same(x, F.get(packed, j + 1))
@@ -68,16 +68,21 @@ def _covered(places: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _grams(hashes: Column, n: Column, size: int) -> Column:
-    """Hash of each run of ``size`` hashes; none where there are fewer."""
-    places = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(size)]))
+def _pairs(hashes: Column) -> Column:
+    """Hash of each word's hash and the next one's; the last word has none and gets a number that is not used."""
+    return F.transform(hashes, lambda x, i: F.xxhash64(x, F.get(hashes, i + 1)))
+
+
+def _windows(hashes: Column, pairs: Column, n: Column) -> Column:
+    """Hash of each run of ``WINDOW`` (five) words, from two pairs and a word."""
+    firsts = F.slice(pairs, 1, F.greatest(n - WINDOW + 1, F.lit(0)))
+    return F.transform(firsts, lambda y, i: F.xxhash64(y, F.get(pairs, i + 2), F.get(hashes, i + 4)))
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` and ``_h``.
+    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` and ``_h, _p``.
 
-    All of it is computed within the row, without a shuffle; ``_h`` holds the words' hashes.
+    All of it is computed within the row, without a shuffle; ``_h`` holds the words' hashes, ``_p`` the pairs'.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     split = docs.withColumn("_w", words_of(F.col("text")))
@@ -90,18 +95,20 @@ def measured(docs: DataFrame) -> DataFrame:
             "_lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         }
     ).drop("_w")
-    h, n = F.col("_h"), F.col("_n")
-    windows = hashed.withColumns(
+    n = F.col("_n")
+    paired = hashed.withColumn("_p", _pairs(F.col("_h")))
+    windows = paired.withColumns(
         {
-            "_g": _grams(h, n, WINDOW),
+            "_g": _windows(F.col("_h"), F.col("_p"), n),
+            "_mask": _place_mask(n),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_words": n.cast("long"),
         }
     ).drop("_lines")
     counted = (
-        windows.withColumn("_s", _packed(F.col("_g"), n))
-        .withColumn("_t", _repeated(F.col("_s"), F.col("_g"), n))
-        .drop("_s", "_g")
+        windows.withColumn("_s", _packed(F.col("_g"), F.col("_mask")))
+        .withColumn("_t", _repeated(F.col("_s"), F.col("_g"), F.col("_mask")))
+        .drop("_s", "_g", "_mask")
         .withColumn("n_repeat_words", _covered(F.col("_t")))
         .drop("_t", "_n")
     )
@@ -109,13 +116,23 @@ def measured(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def features(hashes: Column, buckets: int = BUCKETS) -> Column:
+def features(hashes: Column, pairs: Column, buckets: int = BUCKETS) -> Column:
     """Bucket numbers of all words and all pairs of neighbouring words."""
-    pairs = F.transform(
-        hashes, lambda x, i: F.pmod(F.xxhash64(x, F.get(hashes, i + 1)), F.lit(buckets)).cast("int")
+    both = F.concat(hashes, F.slice(pairs, 1, F.greatest(F.size(hashes) - 1, F.lit(0))))
+    return F.transform(both, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
+
+
+def summed(hashes: Column, pairs: Column, ratios: Column, buckets: int = BUCKETS) -> Column:
+    """Sum of the log ratios of a text's features, word by word with the pair that starts there."""
+
+    def ratio(x: Column) -> Column:
+        return F.get(ratios, F.pmod(x, F.lit(buckets)).cast("int"))
+
+    last = F.size(hashes) - 1
+    steps = F.transform(
+        pairs, lambda y, i: ratio(F.get(hashes, i)) + F.when(i < last, ratio(y)).otherwise(F.lit(0).cast("long"))
     )
-    singles = F.transform(hashes, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
-    return F.concat(singles, F.slice(pairs, 1, F.greatest(F.size(hashes) - 1, F.lit(0))))
+    return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
 def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
@@ -134,7 +151,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_t
     trusted = F.broadcast(trusted_ids(labels, max_trusted).withColumn("_trusted", F.lit(1)))
     seen = docs.select("doc_id", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
     counts = (
-        seen.select("doc_id", features(F.col("h"), buckets).alias("f"))
+        seen.select("doc_id", "h", _pairs(F.col("h")).alias("p"))
+        .select("doc_id", features(F.col("h"), F.col("p"), buckets).alias("f"))
         .join(trusted, "doc_id", "left")
         # outer, as Spark else copies the whole expression into a filter on its size
         .select(F.explode_outer("f").alias("bucket"), "_trusted")
@@ -176,12 +194,9 @@ def judge(
         F.transform(F.sort_array(F.collect_list(F.struct("bucket", "ratio"))), lambda x: x["ratio"]).alias("all")
     )
     kept_columns = [c for c in docs.columns if c not in NEW_COLUMNS]
-    rows = measured(docs.select(*kept_columns)).withColumn("_f", features(F.col("_h"), buckets)).drop("_h")
-    scored = rows.withColumn("_ratios", ratios.scalar()).withColumn(
-        "_sum",
-        F.aggregate("_f", F.lit(0).cast("long"), lambda a, b: a + F.get(F.col("_ratios"), b)),
-    )
-    n = F.size("_f")
+    rows = measured(docs.select(*kept_columns)).withColumn("_ratios", ratios.scalar())
+    scored = rows.withColumn("_sum", summed(F.col("_h"), F.col("_p"), F.col("_ratios"), buckets))
+    n = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
     # true for each row; keeps a filter on the verdict from being pushed down, which would copy all of it many times
     here = F.spark_partition_id() >= 0
     return scored.withColumns(
@@ -189,7 +204,7 @@ def judge(
             "log_ratio": F.when(n > 0, F.col("_sum") / (F.lit(float(UNIT)) * n)).otherwise(F.lit(0.0)),
             "kept": here & ~F.col("base_failed") & (F.col("_sum") >= F.lit(int(threshold * UNIT)) * n),
         }
-    ).drop("_f", "_sum", "_ratios")
+    ).drop("_h", "_p", "_sum", "_ratios")
 
 
 #: columns that ``judge`` adds
