@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
 from registry.common import AS_OF, views, with_views
 from storelens.config import FeedConfig
-from storelens.operators.staging import stage
-from storelens.plans.feeds import base, channels
+from storelens.operators.staging import stage, staging_path
+from storelens.plans.feeds import base, channels, run
 
 CFG = FeedConfig()
 MASTERS = tuple(
@@ -35,6 +39,24 @@ def gaps(spark, sf):
     return channels.missing_fields({n: fn(rows, CFG) for n, fn in channels.CHANNELS.items()})
 
 
+def feed_run(spark, sf):
+    """Rows and distinct first columns of every export of a whole run, read back."""
+    paths = run.run_feeds(views(spark, sf, *MASTERS), CFG, AS_OF, staging_path(spark, "feeds"))
+    parts = []
+    for name, path in paths.items():
+        back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        first = back.columns[0]
+        parts.append(
+            back.agg(
+                F.lit(name).alias("channel"),
+                F.lit(path.rsplit("/", 1)[1]).alias("export"),
+                F.count("*").alias("row_count"),
+                F.count_distinct(first).alias("keys"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     "N1_base_feed": _base,
     "N2_validate_feed": validation,
@@ -47,6 +69,7 @@ QUERIES = {
     "N3g_feed_yahoo_shopping": _channel("yahoo_shopping"),
     "N4_join_cardinality_report": cardinality,
     "N10_channel_field_matrix": gaps,
+    "P3_feed_run": feed_run,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -271,6 +294,11 @@ ORACLES = {
     "N2_validate_feed": VALIDATION,
     **{k: FEEDS[k.split("_feed_")[1]] for k in QUERIES if k.startswith("N3")},
     "N4_join_cardinality_report": COUNTS,
+    "P3_feed_run": " union all ".join(
+        f"""select '{c}' as channel, '{c}_20240131' as export, count(*) as row_count,
+                   count(distinct {'item_id' if c == 'yahoo_shopping' else 'id'}) as keys from ({f}) f"""
+        for c, f in FEEDS.items()
+    ),
     "N10_channel_field_matrix": " union all ".join(_gaps(c, f) for c, f in FEEDS.items()),
 }
 ORACLES = {k: with_views(v) for k, v in ORACLES.items()}

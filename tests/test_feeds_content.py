@@ -9,7 +9,7 @@ from registry.common import AS_OF, views
 from registry.feeds import MASTERS
 from storelens.config import FeedConfig
 from storelens.plans import content, ingest, segments
-from storelens.plans.feeds import base, channels
+from storelens.plans.feeds import base, channels, run as feed_run
 from storelens.sources import sinks, tables
 
 SF = "/root/testdata/sf0.001"
@@ -254,3 +254,31 @@ def test_activation_texts(spark):
 def test_latest_version(spark):
     df = spark.createDataFrame([("n", "9"), ("n", "10"), ("m", "x")], "name string, id string")
     assert sorted(map(tuple, segments.latest_version_by_name(df).collect())) == [("m", "x"), ("n", "10")]
+
+
+def test_feed_run_exports_every_channel_or_none(spark, tmp_path):
+    t = views(spark, SF, *MASTERS)
+    paths = feed_run.run_feeds(t, CFG, AS_OF, f"file://{tmp_path}", ("rtb_house", "yahoo_shopping"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["rtb_house_20240131", "yahoo_shopping_20240131"]
+    assert spark.read.option("header", True).csv(paths["rtb_house"]).count() > 0
+    empty = {**t, "feed_sku": t["feed_sku"].limit(0)}
+    with pytest.raises(base.FeedValidationError):
+        feed_run.run_feeds(empty, CFG, AS_OF, f"file://{tmp_path}/none")
+    assert not (tmp_path / "none").exists()
+
+
+def test_sheet_dates_and_odd_numbers(spark):
+    grid = spark.createDataFrame(
+        [("f", "s", 0, ["Joined On", "X"]), ("f", "s", 1, ["60.5", "1"]), ("f", "s", 2, ["n/a", "2"]), ("f", "s", 3, [None, "3"])],
+        "file string, sheet string, row_idx int, cells array<string>",
+    )
+    spec = ingest.SheetSpec("s", "t", dates=("joined_on",))
+    got = {r.x: r.joined_on for r in ingest.ingest_sheet(grid, spec, AS_OF).collect()}
+    assert got == {1: "1900-02-28T12:00:00", 2: "n/a", 3: None}
+
+
+def test_references_are_decoded_once(spark):
+    text = "&#128512; &#x2764; &eacute; &amp;lt; &#xD800; &nosuch; a&b &notin; &AMP;"
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    got = [r.t for r in df.select(content.decode_entities(F.col("t")).alias("t")).collect()]
+    assert got == ["😀 ❤ é &lt; \ufffd &nosuch; a&b ∉ &", None, ""]

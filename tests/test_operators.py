@@ -3,12 +3,14 @@
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from storelens.functions.timewin import local_midnight, window_bounds
-from storelens.operators import joins
+from storelens.operators import joins, staging
 from storelens.operators.ids import dense_ids
 from storelens.operators.joins import both_ways, overlap_pairs, salted_join
 from storelens.operators.ranking import give_to_all, global_topn, ntiles, pivot_slots, topk_per_key
@@ -176,3 +178,31 @@ def test_sessionize_equals_brute_force(spark, seed):
         for r in sessionize(df, "cookie", 1800, ["no"], fill="user_id").collect()
     }
     assert got == sessions_by_hand(rows, 1800)
+
+
+def test_staged_tables_lie_in_the_shared_folder_and_are_removed(spark):
+    rows = staging.stage(spark.range(10))
+    path = rows.inputFiles()[0]
+    assert staging.checkpoint_home(spark).split(":")[-1].lstrip("/") in path
+    assert rows.count() == 10
+    folder = Path(unquote(urlparse(path).path)).parent
+    assert folder.is_dir() and staging.drop_staged(spark) >= 1 and not folder.exists()
+    assert staging.drop_staged(spark) == 0
+
+
+def test_salts_follow_the_largest_key(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", 100)
+    big = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert joins.salts_for(big, "k") == 3 and joins.salts_for(big.limit(0), "k") == 1
+    small = spark.createDataFrame([("hot", 1), ("1", 2)], "k string, v int")
+    spread = joins.salted_join(big, small, "k", "id", salts=None)
+    assert spread.count() == 301
+    assert joins.salted_join(big, small, "k", "id", salts=None, how="left_anti").count() == 599
+    left = joins.salted_join(big, small, "k", "id", salts=None, how="left")
+    assert left.count() == 900 and left.filter("v is not null").count() == 301
+
+
+def test_ntiles_number_missing_values_last(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("b", None), (None, 2.0), ("d", 3.0), ("e", None)], "k string, x double")
+    got = {r.k: r.t for r in ntiles(rows, "k", {"t": F.col("x")}, 5).collect()}
+    assert (got["a"], got[None], got["d"]) == (1, 2, 3) and {got["b"], got["e"]} == {4, 5}
