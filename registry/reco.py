@@ -25,19 +25,14 @@ JACCARD = C.UserCfConfig(lookback_days=YEARS, min_common_products=4)
 SEASON = C.SeasonConfig(season_categories=SEASONS)
 BANDIT = C.BanditConfig(enabled=True, min_impressions=20)
 RFM = C.RfmConfig()
-PROBABILITY = C.ProbabilityConfig(enabled=True, max_iter=5)
-CF = C.UserCfConfig(lookback_days=365, n_factors=8, n_epochs=5)
+PROBABILITY = C.ProbabilityConfig(enabled=True)
+CF = C.UserCfConfig(lookback_days=365)
 FINAL = C.FinalConfig(exclude_purchased_within_days=30)
-#: the logics merged by the final-stage queries
-MERGED = [
-    "bestseller_overall",
-    "bestseller_category",
-    "bestseller_brand",
-    "browsing_history",
-    "cart_favorite",
-    "attribute_fit",
-    "time_seasonality",
-]
+#: the thirteen logics that are on by default, similar buyers in the form that SQL has
+MERGED = {
+    **{n: fn for n, fn in final.LOGICS.items() if n not in ("ml_purchase_probability", "bandit_optimization")},
+    "user_based_cf": association.user_based_cf_jaccard,
+}
 
 WEB = ("products", "purchases", "members", "weblog", "impressions", "id_mapping")
 
@@ -60,17 +55,24 @@ def _dense(spark, sf):
 
 
 def _reco_config():
-    return C.RecoConfig(time_seasonality=SEASON, final=FINAL)
+    return C.RecoConfig(
+        repurchase=REPURCHASE,
+        item_cooccurrence=COOC,
+        basket_association=BASKET,
+        user_based_cf=JACCARD,
+        time_seasonality=SEASON,
+        final=FINAL,
+    )
 
 
 def _pool(spark, sf):
     t = views(spark, sf, "products", "purchases", "members", "weblog")
-    chosen = {n: final.LOGICS[n] for n in MERGED}
-    return t, final.candidate_pool(t, _reco_config(), AS_OF, chosen)
+    # scores to eight digits, as the oracle has them
+    return t, rounded(final.candidate_pool(t, _reco_config(), AS_OF, MERGED), "score")
 
 
 def pool_query(spark, sf):
-    return rounded(_pool(spark, sf)[1], "score")
+    return _pool(spark, sf)[1]
 
 
 def weighted_query(spark, sf):
@@ -504,7 +506,21 @@ CATEGORY_SQL = _favourite("category_id", "bestseller_category", "category_bestse
 BRAND_SQL = _favourite("brand_id", "bestseller_brand", "brand_bestseller")
 POOL_SQL = " union all ".join(
     f"select * from ({s}) u"
-    for s in [OVERALL, CATEGORY_SQL, BRAND_SQL, BROWSING, CART_FAVORITE, FIT, SEASON_SQL]
+    for s in [
+        OVERALL,
+        CATEGORY_SQL,
+        BRAND_SQL,
+        BROWSING,
+        CART_FAVORITE,
+        REPURCHASE_SQL,
+        COOC_SQL,
+        BASKET_SQL,
+        FIT,
+        RFM_STAGE_SQL,
+        JACCARD_SQL,
+        SIMILARITY_SQL,
+        SEASON_SQL,
+    ]
 )
 WEIGHT_ROWS = ", ".join(f"('{k}', {v})" for k, v in C.LOGIC_WEIGHTS.items())
 WEIGHTED_SQL = f"""
@@ -540,7 +556,7 @@ FINAL_SQL = f"""
            product_id, category_id, brand_id, logic_name as adopted_logic, reco_reason, weighted_score
     from ({CAPPED_SQL}) c qualify final_rank <= 5"""
 QUALITY_SQL = f"""
-    with pool as ({POOL_SQL}), fin as ({FINAL_SQL})
+    with pool as materialized ({POOL_SQL}), fin as materialized ({FINAL_SQL})
     select 'candidate_rows' as metric, count(*) as value from pool
     union all select 'null_keys', count(*) from pool where coalesce(key_value, '') = ''
     union all select 'unweighted_rows', 0
