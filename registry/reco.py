@@ -172,6 +172,45 @@ def probability_query(spark, sf):
     return rounded(learned.purchase_probability(t, PROBABILITY, AS_OF), "purchase_probability", digits=4)
 
 
+def _counts(name, rows):
+    """``(logic, metric, value)`` rows from a frame of one row of counts."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in rows.columns])
+    return rows.select(F.lit(name).alias("logic"), F.explode(pairs).alias("p")).select("logic", "p.metric", "p.value")
+
+
+def _list_counts(name, rows, owned):
+    """Faults of ranked lists: gaps in ranks, repeated or owned products, scores out of range; members served."""
+    rows = stage(rows)
+    per_member = rows.groupBy("key_value").agg(
+        F.count("*").alias("n"), F.max("rank_in_logic").alias("last"), F.count_distinct("product_id").alias("products")
+    )
+    lists = per_member.agg(
+        F.count("*").alias("members"),
+        F.count_if(F.col("n") != F.col("last")).alias("rank_gaps"),
+        F.count_if(F.col("n") != F.col("products")).alias("repeats"),
+        F.count_if(F.col("n") > 10).alias("too_long"),
+    )
+    scores = rows.agg(F.count_if(~F.col("score").between(0, 1)).alias("bad_scores"))
+    own = rows.join(owned, ["key_value", "product_id"], "left_semi").agg(F.count("*").alias("owned"))
+    return _counts(name, lists).unionByName(_counts(name, scores)).unionByName(_counts(name, own))
+
+
+def cf_properties(spark, sf):
+    t = {"purchases": views(spark, sf, "sales")["sales"]}
+    owned = learned.interactions(t, CF, AS_OF).select(F.col("member_id").alias("key_value"), "product_id")
+    return _list_counts("user_based_cf", learned.user_based_cf(t, CF, AS_OF), owned)
+
+
+def probability_properties(spark, sf):
+    t = views(spark, sf, *WEB)
+    chance = learned.purchase_probability(t, PROBABILITY, AS_OF).agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("member_id").alias("members"),
+        F.count_if(~F.coalesce(F.col("purchase_probability").between(0, 1), F.lit(False))).alias("bad_scores"),
+    )
+    return _counts("purchase_probability", chance)
+
+
 def rfm_query(spark, sf):
     """Quintiles where some buyers have no amounts and some purchases no member."""
     sold = views(spark, sf, "purchases")["purchases"]
@@ -204,6 +243,8 @@ QUERIES = {
     "L10_rfm_scores": rfm_query,
     "L11_ml_purchase_probability": _logic(learned.ml_purchase_probability, PROBABILITY, *WEB),
     "L12a_user_based_cf": _logic(learned.user_based_cf, CF, "sales"),
+    "L12a_user_based_cf_properties": cf_properties,
+    "K02_purchase_probability_properties": probability_properties,
     "L12b_user_based_cf_jaccard": _logic(association.user_based_cf_jaccard, JACCARD, "sales"),
     "L13_attribute_similarity": _logic(
         similarity.attribute_similarity, C.SimilarityConfig(), "products", "sales", "clicks"
@@ -623,6 +664,24 @@ RATINGS_SQL = f"""
                as rating
     from i"""
 
+#: every member with a positive quantity in the window and a product not yet bought is served
+CF_PROPERTIES = f"""
+    with i as (
+        select member_id, product_id from purchases
+        where {win(365)} and member_id is not null and product_id is not null
+        group by all having sum(quantity) > 0),
+    served as (
+        select count(*) as n from (select member_id, count(*) as own from i group by 1) m
+        where own < (select count(distinct product_id) from i))
+    select 'user_based_cf' as logic, metric, value from (
+        select 'members' as metric, n as value from served
+        union all select unnest(['rank_gaps', 'repeats', 'too_long', 'bad_scores', 'owned']), 0) x"""
+PROBABILITY_PROPERTIES = """
+    select 'purchase_probability' as logic, metric, value from (
+        select 'rows' as metric, count(*) as value from members
+        union all select 'members', count(distinct member_id) from members
+        union all select 'bad_scores', 0) x"""
+
 ORACLES = {
     "L01_bestseller_overall": OVERALL,
     "L02_bestseller_category": CATEGORY_SQL,
@@ -643,6 +702,8 @@ ORACLES = {
                  from purchases) n""",
     ),
     "L12b_user_based_cf_jaccard": JACCARD_SQL,
+    "L12a_user_based_cf_properties": CF_PROPERTIES,
+    "K02_purchase_probability_properties": PROBABILITY_PROPERTIES,
     "L13_attribute_similarity": SIMILARITY_SQL,
     "L14_time_seasonality": SEASON_SQL,
     "L15_bandit_optimization": BANDIT_SQL,
