@@ -59,7 +59,7 @@ def sentence_gaps(spark, sf):
     return content.sentence_differences(views(spark, sf, "templates")["templates"])
 
 
-BOUGHT = F.col("event_type") == "purchase"
+BOUGHT = "event_type = 'purchase'"
 
 
 def _rule(compare, n, exclude=False):

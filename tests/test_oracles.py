@@ -1,13 +1,15 @@
 """Registered queries against their SQL; all of them with STORELENS_ALL=1."""
 
 import os
+import subprocess
 import sys
 from pathlib import Path
 
 import duckdb
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "checks"))
+HOME = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(HOME / "checks"))
 
 import __spark_entry__ as entry
 from compare import check
@@ -57,6 +59,12 @@ def test_query_matches_oracle(spark, con, name):
     assert check(spark, con, SF, name, entry.queries()[name], entry.oracle_sql().get(name))
 
 
+def test_queries_can_be_listed_without_a_session():
+    code = "import __spark_entry__ as e; print('NAMES', len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=HOME, capture_output=True, text=True, timeout=120)
+    assert f"NAMES {len(entry.queries())} {len(entry.oracle_sql())}" in said.stdout, said.stderr
+
+
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
