@@ -18,7 +18,7 @@ from storelens.llm.words import pieces
 from storelens.llm.workers import map_batches, ship
 
 #: bytes of text in a block, keys in a bucket
-BLOCK_BYTES, BUCKET_KEYS = 8 << 20, 1 << 19
+BLOCK_BYTES, BUCKET_KEYS = 6 << 20, 1 << 19
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -26,7 +26,7 @@ def packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
-def unpacked(data: bytes, kind: str) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
     planes = np.frombuffer(data, np.uint8).reshape(size, -1)
     return np.ascontiguousarray(planes.T).view(kind)[:, 0]
@@ -140,7 +140,8 @@ def with_replies(
     """``finish(block, answers)`` for each block: its row as a table, and the answers to all its sorted keys."""
 
     def run(block: pa.Table, told: pa.Table) -> pa.Table:
-        parts = [unpacked(x, reply) for x in told.sort_by("bucket").column("reply").to_pylist()]
+        told = told.sort_by("bucket").column("reply")
+        parts = [unpacked(x.as_buffer(), reply) for x in told]
         return finish(block, np.concatenate(parts) if parts else np.empty(0, reply))
 
     ship(blocks.sparkSession)
@@ -151,5 +152,11 @@ def block_number(partition: int, count: int) -> int:
     return partition << 32 | count
 
 
+def first_field(replies: DataFrame, fields: int) -> DataFrame:
+    """Replies of ``fields`` equally wide fields cut to the first one; its bytes come first in each value."""
+    width = F.floor(F.octet_length("reply") / fields).cast("int")
+    return replies.select("block", "bucket", F.substring("reply", F.lit(1), width).alias("reply"))
+
+
 def total_of(blocks: DataFrame, column: str) -> int:
     return blocks.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0]

@@ -14,6 +14,7 @@ from storelens.llm.blocks import (
     ask,
     block_number,
     blocks_of,
+    first_field,
     packed,
     packed_sorted,
     total_of,
@@ -92,18 +93,20 @@ class _Opened:
     def __init__(self, batch: pa.RecordBatch, row: int) -> None:
         field = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
         words = unpacked_sorted(field["words"].as_py())
-        self.tokens = unpacked(field["tokens"].as_py(), "<u4").astype(np.int64)
+        self.tokens = unpacked(field["tokens"].as_buffer(), "<u4")
         self.lengths = np.array(field["lengths"].as_py(), np.int64)
         self.folds = np.array(field["folds"].as_py(), np.int64)
         self.ids = field["ids"].values
         n = len(words)
-        codes, self.pair = np.unique(_codes(self.tokens, self.lengths, n), return_inverse=True)
+        codes, pair = np.unique(_codes(self.tokens, self.lengths, n), return_inverse=True)
+        self.pair = pair.astype(np.int32)
         self.singles = np.concatenate([words, [START_KEY]])
-        self.context = codes // (n + 1)
-        self.word = codes % (n + 1)
+        self.context = (codes // (n + 1)).astype(np.int32)
+        self.word = (codes % (n + 1)).astype(np.int32)
+        del codes, pair
         pairs = mix(self.singles[self.context] * np.uint64(0x9E3779B97F4A7C15) + words[self.word]) & ~np.uint64(1)
         self.keys = np.concatenate([self.singles, pairs])
-        self.order = np.argsort(self.keys, kind="stable")
+        self.order = np.argsort(self.keys, kind="stable").astype(np.int32)
 
     def counts(self) -> np.ndarray:
         """Of each key in sorted order: tokens (texts for the start) in training, and those in the deleted fold."""
@@ -117,10 +120,10 @@ class _Opened:
             out[name] = np.concatenate([words, pairs])[self.order].astype(np.uint64)
         return out
 
-    def told(self, answers: np.ndarray, field: str) -> tuple[np.ndarray, np.ndarray]:
+    def told(self, answers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Corpus counts of the single keys and of the pairs."""
         found = np.empty(len(self.keys), np.int64)
-        found[self.order] = answers[field].astype(np.int64)
+        found[self.order] = answers
         return found[: len(self.singles)], found[len(self.singles) :]
 
 
@@ -226,7 +229,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def histogram(block: pa.Table, answers: np.ndarray) -> pa.Table:
         own = _Opened(block.combine_chunks().to_batches()[0], 0)
-        single, pair = (a - b for a, b in zip(own.told(answers, "f0"), own.told(answers, "f1")))
+        single, pair = own.told(answers["f0"] - answers["f1"])
         seen = np.bincount(own.pair, minlength=len(pair))
         context = single[own.context]
         cells = np.stack(
@@ -245,14 +248,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def finish(block: pa.Table, answers: np.ndarray) -> pa.Table:
         own = _Opened(block.combine_chunks().to_batches()[0], 0)
-        single, pair = own.told(answers, "f0")
-        context, word = single[own.context], single[own.word]
-        by_pair = weights[bucket_of(context)]
-        mixed = (
-            by_pair[:, 0] * pair / np.maximum(context, 1)
-            + by_pair[:, 1] * word / max(tokens, 1)
-            + by_pair[:, 2] / (words + 1)
-        )
+        single, pair = own.told(answers)
+        bucket = bucket_of(single)[own.context]
+        mixed = weights[bucket, 0] * pair / np.maximum(single, 1)[own.context]
+        mixed += (weights[:, 1] / max(tokens, 1))[bucket] * single[own.word]
+        mixed += (weights[:, 2] / (words + 1))[bucket]
+        mixed = np.log10(mixed)
         text = np.repeat(np.arange(len(own.lengths)), own.lengths)
         n = len(own.lengths)
         count = single[own.tokens]
@@ -265,15 +266,15 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 "n_known": pa.array(np.bincount(text, count > 0, minlength=n).astype(np.int64)),
                 "train_tokens": pa.array(np.full(n, tokens, np.int64)),
                 "base_score": pa.array(np.bincount(text, base, minlength=n)),
-                "score": pa.array(np.bincount(text, np.log10(mixed)[own.pair], minlength=n)),
+                "score": pa.array(np.bincount(text, mixed[own.pair], minlength=n)),
             }
         )
 
     return with_replies(
         blocks,
-        replies.select("block", "bucket", "reply"),
+        first_field(replies, 2),
         finish,
-        REPLY,
+        "<u8",
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",
     )
