@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from storelens.llm.words import pieces
@@ -17,8 +18,8 @@ from storelens.llm.workers import map_batches
 
 #: id appended to each document
 END = 0
-#: stretches of text that a worker remembers in each of two generations
-MEMORY = 150_000
+#: stretches of text, and pre-tokens, that a worker remembers in each of two generations
+MEMORY = 200_000
 LONGEST_KEPT = 64
 #: bytes of text in an output batch
 STEP_BYTES = 1 << 21
@@ -31,10 +32,21 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
 }
 
-#: a blank next to other white space
-_CROWDED = re.compile(r" \s|\s | $")
-#: places where text can be cut: before a single blank between two other characters
-_CUTS = re.compile(r"(?<=\S)(?= \S)")
+
+# Fixed value: the pattern of pre-tokens that byte-level tokenizers share.
+PRE_TOKEN = regex.compile(
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
+
+
+SIGNS = frozenset(".,;:!?")
+
+
+def byte_signs() -> dict[int, str]:
+    """The character by which byte-level tokenizers write each byte: itself where it is printable, else one from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class TextEncoder:
@@ -42,7 +54,8 @@ class TextEncoder:
 
     The file's pre-tokenizer joins one blank to the characters after it, and no
     pre-token holds a single blank behind another character. So a text can be cut before such blanks, and the
-    ids of the stretches are put together.
+    ids of the stretches are put together; a text in which a blank meets other white space is not cut. A stretch that is not remembered is split into
+    pre-tokens, which the library's model encodes one by one. Texts with added tokens go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -60,16 +73,40 @@ class TextEncoder:
             raise ValueError("a byte-level tokenizer without normalisation is needed")
         if any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens may not take blanks")
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.model, self.signs = self.tokenizer.model, byte_signs()
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.tokens_now: dict[str, bytes] = {}
+        self.tokens_before: dict[str, bytes] = {}
+
+    def _pre_token(self, text: str) -> bytes:
+        got = self.tokens_now.get(text) or self.tokens_before.get(text)
+        if got is None:
+            signs = text.encode().decode("latin-1").translate(self.signs)
+            ids = [t.id for t in self.model.tokenize(signs)]
+            got = struct.pack(f"<{len(ids)}I", *ids)
+        if len(text) <= LONGEST_KEPT and text not in self.tokens_now:
+            if len(self.tokens_now) >= MEMORY:
+                self.tokens_before, self.tokens_now = self.tokens_now, {}
+            self.tokens_now[text] = got
+        return got
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _pre_tokens(self, text: str) -> bytes:
+        return b"".join([self._pre_token(t) for t in PRE_TOKEN.findall(text)])
 
-    def _stretch(self, text: str) -> bytes:
+    def _stretch(self, text: str) -> bytes | None:
+        """Ids of a blank and what follows it up to the next one; none where that blank meets other white space."""
+        if not text or text[0].isspace() or text[-1].isspace():
+            return None
         got = self.before.get(text)
         if got is None:
-            got = self._ids(text)
+            if text.isalpha():  # letters alone, or before one sign, need no pattern
+                got = self._pre_token(f" {text}")
+            elif text[-1] in SIGNS and text[:-1].isalpha():
+                got = self._pre_token(f" {text[:-1]}") + self._pre_token(text[-1])
+            else:
+                got = self._pre_tokens(f" {text}")
         if len(text) <= LONGEST_KEPT:
             if len(self.now) >= MEMORY:
                 self.before, self.now = self.now, {}
@@ -80,13 +117,14 @@ class TextEncoder:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        if _CROWDED.search(text):
-            parts = _CUTS.split(text)
-        else:
-            first, *rest = text.split(" ")
-            parts = [*([first] if first else []), *[f" {x}" for x in rest]]
-        now = self.now
-        return b"".join([now.get(p) or self._stretch(p) for p in parts])
+        if any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        first, *rest = text.split(" ")
+        if rest and first[-1:].isspace():
+            return self._pre_tokens(text)
+        get, stretch = self.now.get, self._stretch
+        found = [get(x) or stretch(x) for x in rest]
+        return self._pre_tokens(text) if None in found else self._pre_tokens(first) + b"".join(found)
 
 
 @lru_cache(maxsize=2)
