@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,10 +19,23 @@ from storelens.operators.staging import stage
 GEAR_WORDS, CUT_ONE_IN = 3, 3
 #: words in a chunk: it ends at the first cut from the least on, at the latest after the most; overlaps are wanted
 LEAST, MOST = 20, 64
+#: places in a window that has a cut in any case, so a chunk ends after ``MOST`` words at the latest
+WINDOW = MOST - LEAST
 
 DIGEST, ENTRY = "<u8", "<i8"
 
 
+def _force(cut: np.ndarray, gear: np.ndarray) -> None:
+    """Sets cuts at the smallest hashes of all windows that have none; they depend on the words near by alone."""
+    cuts = np.flatnonzero(cut)
+    for i in np.flatnonzero(np.diff(cuts) > WINDOW).tolist():
+        g = gear[cuts[i] + 1 : cuts[i + 1]]
+        least = sliding_window_view(g, WINDOW).min(axis=1)
+        edge = np.zeros(WINDOW - 1, np.uint64)
+        # a place is the smallest of a window if the largest of its windows' minima is its own hash
+        cut[cuts[i] + 1 : cuts[i + 1]] = sliding_window_view(np.concatenate([edge, least, edge]), WINDOW).max(axis=1) == g
+
+
 def chunks(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, digests and texts of the chunks of many texts, given their words' hashes.
 
@@ -29,7 +43,9 @@ def chunks(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     once more than the next; where it is small there is a cut. Cuts depend on the
     ``GEAR_WORDS`` words before them alone, so an insertion moves only those next to it. A chunk starts at
     each cut and each text's start and holds ``LEAST`` words or more, thus chunks overlap, and a
-    repeated passage has the same chunks from its first cut on, wherever it stands.
+    repeated passage has the same chunks from its first cut on, wherever it stands. Where a window of
+    ``WINDOW`` places has no cut, as in text of few repeated words, its smallest gear hashes are cuts as well, all
+    of them if they are alike. So chunks leave no word out of a text of ``LEAST`` words or more.
     """
     n = len(h)
     sizes = np.diff(begin)
@@ -37,8 +53,10 @@ def chunks(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     gear = np.zeros(n + 1, np.uint64)
     for j in range(min(GEAR_WORDS, n)):  # no word of the text before
         gear[1 + j :] += np.where(place[j:] >= j, h[: n - j] << np.uint64(j), np.uint64(0))
-    cut = mix(gear) < np.uint64((1 << 64) // CUT_ONE_IN)
+    gear = mix(gear)
+    cut = gear < np.uint64((1 << 64) // CUT_ONE_IN)
     cut[begin] = True  # starts of texts, and the end
+    _force(cut, gear)
     cuts = np.flatnonzero(cut)
     stop = np.repeat(begin[1:], sizes)
     starts = cuts[cuts < n]

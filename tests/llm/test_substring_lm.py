@@ -196,3 +196,44 @@ def test_edge_tables(spark):
     held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2]
     none = lm.score_documents(documents(spark, [(i, "a b") for i in held])).collect()
     assert all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
+
+
+def chunked(texts):
+    made = [word_hashes(t.encode().split()) for t in texts]
+    begin = np.cumsum([0, *map(len, made)])
+    starts, ends, digests, owner = substring.chunks(np.concatenate(made), begin)
+    out = [[] for _ in texts]
+    for a, b, d, o in zip(starts, ends, digests, owner):
+        out[o].append((int(a - begin[o]), int(b - begin[o]), int(d)))
+    return out
+
+
+def repeating(seed):
+    """Texts of 20 words and more, many of them of one short phrase over and over."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(300):
+        phrase = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((1, 1, 2, 3, 5, 8)))]
+        out.append(" ".join((phrase * 400)[: rng.randint(20, 400)]))
+    return out
+
+
+def test_every_word_lies_in_a_chunk():
+    texts = repeating(1) + [t for _, t in prose(2, 100, words=300, vocabulary=3000) if len(t.split()) >= 20]
+    for t, found in zip(texts, chunked(texts)):
+        assert {x for a, b, _ in found for x in range(a, b)} == set(range(len(t.split())))
+        assert all(substring.LEAST <= b - a <= substring.MOST for a, b, _ in found)
+
+
+def test_repeated_phrases_match_wherever_they_stand():
+    """No run of 51 words that another text has, too, lies outside the chunks that both have."""
+    rng = random.Random(3)
+    for t in [t for t in repeating(4) if len(t.split()) >= 100][:150]:
+        w = t.split()
+        cut = rng.randrange(20)
+        before, behind = (" ".join(f"x{rng.randrange(10**6)}" for _ in range(30)) for _ in range(2))
+        one, two = chunked([f"{before} {t}", f"{' '.join(w[cut:])} {behind}"])
+        held = {d for _, _, d in one}
+        shared = {x for a, b, d in two if d in held for x in range(a, b)}
+        n = len(w) - cut
+        assert all(shared & set(range(x, x + 51)) for x in range(n - 50))
