@@ -22,7 +22,8 @@ LEAST, MOST = 20, 64
 #: places in a window that has a cut in any case, so a chunk ends after ``MOST`` words at the latest
 WINDOW = MOST - LEAST
 
-DIGEST, ENTRY = "<u8", "<i8"
+#: an entry is the smallest document with a digest in a block, and how far the largest is above it
+DIGEST, ENTRY = "<u8", np.dtype([("least", "<i8"), ("above", "<i8")])
 
 
 def _force(cut: np.ndarray, gear: np.ndarray) -> None:
@@ -84,27 +85,39 @@ def _union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[first], reach[np.concatenate([first[1:] - 1, [len(starts) - 1]])]
 
 
-def _holders(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """0 where one document alone has the key, 1 in the smallest document that has it, 2 in the others."""
+def _holders(keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """0 where one document alone has the key, 1 in the block of the smallest document that has it, 2 in the others."""
     order = np.argsort(keys, kind="stable")
-    k = keys[order]
+    k, low = keys[order], entries["least"][order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
     out = np.zeros(len(keys), np.uint8)
     if len(first):
         sizes = np.diff([*first, len(k)])
-        least = np.repeat(np.minimum.reduceat(ids[order], first), sizes)
-        most = np.repeat(np.maximum.reduceat(ids[order], first), sizes)
-        out[order] = np.where(least == most, 0, np.where(ids[order] == least, 1, 2))
+        least = np.repeat(np.minimum.reduceat(low, first), sizes)
+        most = np.repeat(np.maximum.reduceat(low + entries["above"][order], first), sizes)
+        out[order] = np.where(least == most, 0, np.where(low == least, 1, 2))
     return out
 
 
-def _entries(batch: pa.RecordBatch | pa.Table, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted digests of a block's chunks, their documents, and the order that sorts them."""
+def _sorted(batch: pa.RecordBatch | pa.Table, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted digests of a block's chunks, their documents, the order that sorts them, and where each digest begins."""
     digests = np.frombuffer(batch.column(batch.schema.get_field_index("digests"))[row].as_py(), DIGEST)
     owner = np.frombuffer(batch.column(batch.schema.get_field_index("owner"))[row].as_py(), "<i4")
     ids = np.array(batch.column(batch.schema.get_field_index("ids"))[row].as_py(), np.int64)
     order = np.argsort(digests, kind="stable")
-    return digests[order], ids[owner[order]], order
+    digests = digests[order]
+    first = np.flatnonzero(np.concatenate([[True], digests[1:] != digests[:-1]])) if len(digests) else np.empty(0, np.int64)
+    return digests, ids[owner[order]], order, first
+
+
+def _entries(batch: pa.RecordBatch | pa.Table, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct digests of a block, each once however often the block has it, and their entries."""
+    digests, ids, _, first = _sorted(batch, row)
+    entries = np.zeros(len(first), ENTRY)
+    if len(first):
+        entries["least"] = np.minimum.reduceat(ids, first)
+        entries["above"] = np.maximum.reduceat(ids, first) - entries["least"]
+    return digests[first], entries
 
 
 def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +129,7 @@ def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([block_number(partition, number)], pa.int64()),
-                pa.array([len(first)], pa.int64()),
+                pa.array([len(np.unique(digests))], pa.int64()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([block.rows.column("no_id").to_pylist()], pa.list_(pa.bool_())),
                 pa.array([block.rows.column("text_hash").to_pylist()], pa.list_(pa.int64())),
@@ -144,9 +157,12 @@ def _finish(block: pa.Table, flags: np.ndarray) -> pa.Table:
     row = block.combine_chunks().to_batches()[0]
     field = {name: row.column(i)[0] for i, name in enumerate(row.schema.names)}
     starts, sizes, owner = (np.frombuffer(field[c].as_py(), "<i4").astype(np.int64) for c in ("starts", "sizes", "owner"))
-    _, _, order = _entries(row, 0)
-    flag = np.empty(len(order), np.uint8)
-    flag[order] = flags
+    digests, holders, order, first = _sorted(row, 0)
+    flag = np.zeros(len(order), np.uint8)
+    if len(first):
+        runs = np.diff([*first, len(digests)])
+        told, least = np.repeat(flags, runs), np.repeat(np.minimum.reduceat(holders, first), runs)
+        flag[order] = np.where(told == 0, 0, np.where((told == 1) & (holders == least), 1, 2))
     words = np.array(field["words"].as_py(), np.int64)
     n = len(words)
     base = np.cumsum(words) - words + np.arange(n)  # a gap between texts, so spans of two never touch
@@ -195,7 +211,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     blocks = stage(map_batches(source, _pack_rows, PACKED), compression="zstd")
     total = total_of(blocks, "n")
     asked = blocks.select("block", "ids", "owner", "digests")
-    replies = stage(ask(asked, lambda b, r: _entries(b, r)[:2], total, _holders, ENTRY, "u1"))
+    replies = stage(ask(asked, _entries, total, _holders, ENTRY, "u1"))
     return with_replies(blocks, replies, _finish, "u1", FOUND)
 
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from storelens.llm import blocks, lm, substring
@@ -237,3 +238,31 @@ def test_repeated_phrases_match_wherever_they_stand():
         shared = {x for a, b, d in two if d in held for x in range(a, b)}
         n = len(w) - cut
         assert all(shared & set(range(x, x + 51)) for x in range(n - 50))
+
+
+def test_a_block_sends_a_digest_once():
+    ids = [7, -3, 2**63 - 1, 9]
+    digests, owner = np.array([5, 9, 5, 5, 9, 1], np.uint64), np.array([0, 0, 2, 1, 0, 3], "<i4")
+    block = pa.table({"ids": [ids], "owner": [owner.tobytes()], "digests": [digests.tobytes()]}).to_batches()[0]
+    keys, entries = substring._entries(block, 0)
+    assert keys.tolist() == [1, 5, 9]
+    sent = blocks.unpacked(blocks.packed(entries), substring.ENTRY)
+    assert [(int(e["least"]), int(e["least"] + e["above"])) for e in sent] == [(9, 9), (-3, 2**63 - 1), (7, 7)]
+
+
+def test_flags_of_merged_digests_match_brute_force(spark):
+    """Texts with a passage many times over, in one document and in many; chunks are those of ``chunks``."""
+    rows, passages = planted(40, 30)
+    rows += [(500 + i, rows[i][1]) for i in range(5)] + [(-4, f"{passages[0]} {passages[0]}"), (76, "same " * 150)]
+    rows += [(77 + i, "same words " * 60) for i in range(3)] + [(90, "an own phrase of few words " * 30)]
+    held = defaultdict(set)
+    found = dict(zip([i for i, _ in rows], chunked([t for _, t in rows])))
+    for i, mine in found.items():
+        for _, _, d in mine:
+            held[d].add(i)
+    for r in substring.find_repeats(documents(spark, rows)).collect():
+        mine = found[r.doc_id]
+        shared = {x for a, b, d in mine if len(held[d]) > 1 for x in range(a, b)}
+        gone = {x for a, b, d in mine if min(held[d]) < r.doc_id for x in range(a, b)}
+        assert gone == {x for s in r.dropped for x in range(s.start, s.end)}
+        assert (r.n_chunks, r.n_shared_words, r.n_dropped_words) == (len(mine), len(shared), len(gone))
