@@ -64,7 +64,9 @@ def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    return sharding.assign_shards(documents(spark, sf).select("doc_id"))
+    docs, path = table(spark, sf, "documents"), staging_path(spark, "shards")
+    sharding.write_shards(docs, path)
+    return sharding.read_shards(spark, path, docs.schema).select("doc_id", "slot", "shard")
 
 
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 #: default shards, and slots of the table: a prime of at least a hundred slots a shard
 SHARDS, SLOTS = 64, 8191
@@ -92,3 +93,10 @@ def write_shards(
         .partitionBy("shard")
         .parquet(path)
     )
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType, slots: int = SLOTS, key: str = "doc_id") -> DataFrame:
+    """All rows that ``write_shards`` wrote of a table with ``schema``, with ``slot`` and ``shard``."""
+    fields = [f for f in schema.fields if f.name not in ("slot", "shard")]
+    back = spark.read.schema(StructType(fields).add("shard", StringType())).parquet(path)
+    return back.withColumn("slot", slot_of(F.col(key), slots))

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from storelens.llm import sharding
+from storelens.llm import queries, sharding
 from storelens.operators.staging import staging_path
 from tests.llm.common import EDGES, documents
 
@@ -71,3 +71,15 @@ def test_written_shards_hold_all_rows(spark):
     back = spark.read.parquet(path)
     assert back.count() == docs.count()
     assert {r.shard for r in back.select("shard").distinct().collect()} == set(sharding.shard_names(5))
+
+
+def test_the_query_writes_whole_documents_on_their_shards(spark, tmp_path, monkeypatch):
+    docs = documents(spark, EDGES + [(i, "t") for i in range(100, 300)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "staging_path", lambda *_: f"{tmp_path}/out")
+    got = queries.op7_sharding(spark, str(tmp_path)).collect()
+    want = sharding.assign_shards(docs).select("doc_id", "slot", "shard").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    back = spark.read.parquet(f"{tmp_path}/out").select(*docs.columns, "shard")
+    placed = sharding.assign_shards(docs).select(*docs.columns, "shard")
+    assert sorted(map(str, back.collect())) == sorted(map(str, placed.collect()))
