@@ -6,16 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from storelens.llm import (
+    alignment,
     decontamination,
     line_dedup,
     lm,
     pieces,
     quality,
+    runs,
     sharding,
     simhash,
     substring,
     token_counts,
     token_files,
+    word_bpe,
 )
 from storelens.operators.staging import staging_path
 
@@ -83,6 +86,30 @@ def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf))
 
 
+def op11_word_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return word_bpe.encode_digests(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.find_runs(runs.repeating(documents(spark, sf)))
+    line = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_digests(documents(spark, sf), a, b)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +121,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_alignment": op13_alignment,
 }
 
 UPPER, LOWER = line_dedup.UPPER, line_dedup.LOWER
