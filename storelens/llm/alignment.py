@@ -30,7 +30,7 @@ from storelens.llm.workers import map_batches, ship
 from storelens.operators.staging import stage
 
 #: bytes of text and documents of a block (places of documents take 16 bits)
-BLOCK_BYTES, BLOCK_DOCS = 12 << 20, 1 << 16
+BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
 #: groups of pairs, and blocks that are scored together
 BUCKETS, TOGETHER = 16, 16
 #: distinct segments that are encoded with one call

@@ -203,10 +203,11 @@ def repeating(docs: DataFrame, share: int = 10) -> DataFrame:
         n = F.size(words).cast("bigint")
         a = F.pmod(g, n)
         p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-        place = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p))
-        moved = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, place(i).cast("int")))
-        return F.array_join(moved, " ")
+        unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        tail = F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), F.lit(1), F.size(words)), " ")
 
-    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    # bound to a lambda's variable, the words are found once
+    words = F.transform(F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)), repeat)[0]
     chosen = (F.pmod(h, F.lit(share)) == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return docs.withColumn("text", F.when(chosen, repeat(words)).otherwise(F.col("text")))
+    return docs.withColumn("text", F.when(chosen, words).otherwise(F.col("text")))

@@ -19,7 +19,7 @@ from storelens.llm.token_files import byte_signs
 from storelens.llm.workers import map_batches
 
 #: runs, and fragments, that a worker remembers in each of two generations
-MEMORY = 100_000
+MEMORY = 200_000
 #: longer ones are encoded each time
 LONGEST_KEPT = 64
 #: symbols from which on the merges of a fragment are found with a heap
@@ -27,8 +27,11 @@ HEAP_FROM = 40
 
 #: characters that end a run: Unicode's White_Space
 RUNS = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-#: the file's pattern for words, for texts in ASCII
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: letters beyond ASCII that normalisation and lower-casing keep single letters (Latin, Cyrillic)
+_LETTERS = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u0481\u048a-\u052f"
+#: runs of printable ASCII and these letters, and the file's pattern for words, once they are lower-cased
+PLAIN = re.compile(rf"[!-~{_LETTERS}]+\Z")
+PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9{_LETTERS}]+")
 
 
 class WordEncoder:
@@ -55,12 +58,13 @@ class WordEncoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocabulary.items()} | {i: t for t, i in self.added.items()}
         self.added_at = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        #: rank and id of what two neighbouring ids merge to
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: ranks of the pairs of ids that merge, and the ids that they merge to, by rank
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.merged: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            ids = (self.vocabulary[left], self.vocabulary[right])
-            self.merges.setdefault(ids, (rank, self.vocabulary[left + right]))
+            self.ranks.setdefault((self.vocabulary[left], self.vocabulary[right]), rank)
+            self.merged.append(self.vocabulary[left + right])
         #: neighbours inside some entry; the second one of a word's end is marked
         self.inside: set[tuple[str, str]] = set()
         for entry in self.vocabulary:
@@ -83,64 +87,79 @@ class WordEncoder:
         ids = [self.vocabulary[s] for s in symbols]
         if len(ids) >= HEAP_FROM:
             return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            found = [(merges[p][0], at) for at, p in enumerate(zip(ids, ids[1:])) if p in merges]
-            if not found:
+        rank_of, none = self.ranks.get, len(self.merged)
+        ranks = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            _, at = min(found)
-            ids[at : at + 2] = [merges[ids[at], ids[at + 1]][1]]
+            at = ranks.index(least)
+            ids[at : at + 2] = [self.merged[least]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), none)
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of possible merges and links between what is left."""
-        merges, n = self.merges, len(ids)
+        ranks, n = self.ranks, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(merges[p][0], at, p) for at, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heap = [(ranks[p], at, p) for at, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
-            _, at, pair = heapq.heappop(heap)
+            rank, at, pair = heapq.heappop(heap)
             right = after[at]
             if right >= n or (ids[at], ids[right]) != pair:
                 continue  # one of the two has been merged since
-            ids[at], ids[right] = merges[pair][1], -1
+            ids[at], ids[right] = self.merged[rank], -1
             after[at] = after[right]
             if after[at] < n:
                 before[after[at]] = at
             for left in (before[at], at):
                 if left >= 0 and after[left] < n:
                     new = (ids[left], ids[after[left]])
-                    if new in merges:
-                        heapq.heappush(heap, (merges[new][0], left, new))
+                    if new in ranks:
+                        heapq.heappush(heap, (ranks[new], left, new))
         return [i for i in ids if i >= 0]
 
-    def _fragment(self, symbols: list[str], last: bool) -> list[int]:
-        key = "".join(symbols) if not last else "".join(symbols) + "\n"  # a byte's sign is never a line feed
-        now, old = self.fragments
-        got = now.get(key) or old.get(key)
-        if got is None:
-            got = self.merge(symbols)
-        if len(key) <= LONGEST_KEPT and key not in now:
+    def _remember(self, key: str, ids: list[int]) -> list[int]:
+        now, _ = self.fragments
+        if len(key) <= LONGEST_KEPT:
             if len(now) >= MEMORY:
-                self.fragments = now, old = {}, now
-            now[key] = got
-        return got
+                self.fragments = now, _ = {}, now
+            now[key] = ids
+        return ids
+
+    def _fragment(self, symbols: list[str]) -> list[int]:
+        """Ids of a fragment inside a word."""
+        key = "".join(symbols)
+        now, old = self.fragments
+        return now.get(key) or self._remember(key, old.get(key) or self.merge(symbols))
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of a word, written in the signs of its bytes."""
-        symbols, inside = self.marked(word), self.inside
+        key = word + "\n"  # words, as fragments that end one; a byte's sign is never a line feed
+        now, old = self.fragments
+        return now.get(key) or self._remember(key, old.get(key) or self._cut(self.marked(word)))
+
+    def _cut(self, symbols: list[str]) -> list[int]:
+        inside = self.inside
+        if inside.issuperset(zip(symbols, symbols[1:])):
+            return self.merge(symbols)
         ids: list[int] = []
         start = 0
         for at, pair in enumerate(zip(symbols, symbols[1:]), 1):
             if pair not in inside:
-                ids += self._fragment(symbols[start:at], False)
+                ids += self._fragment(symbols[start:at])
                 start = at
-        return ids + self._fragment(symbols[start:], True)
+        return ids + self.merge(symbols[start:])
 
     def _words(self, part: str) -> list[str]:
-        if part.isascii():
-            found = ASCII_WORDS.findall(part.lower())
-            return [w.translate(self.signs) for w in found]
+        if PLAIN.match(part):
+            found = PLAIN_WORDS.findall(part.lower())
+            return found if part.isascii() else [w.encode().decode("latin-1").translate(self.signs) for w in found]
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))]
 
     def _run(self, run: str) -> tuple[int, bytes, str]:
@@ -168,7 +187,10 @@ class WordEncoder:
         """
         get = self.runs[0].get
         found = [get(r) or self._run(r) for r in RUNS.findall(text)]
-        return sum([f[0] for f in found]), b"".join([f[1] for f in found]), " ".join([f[2] for f in found if f[0]])
+        if not found:
+            return 0, b"", ""
+        sizes, ids, decoded = zip(*found)
+        return sum(sizes), b"".join(ids), " ".join(decoded)
 
     def decode(self, ids: list[int]) -> str:
         """The entries, joined by blanks, word-end marks included: the file names no decoder. Unknown ids are left out."""

@@ -45,19 +45,23 @@ def test_any_ids_decode_as_in_the_library(library):
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
-def test_fragments_end_at_forced_boundaries_only():
+def test_fragments_end_at_forced_boundaries_only(monkeypatch):
     own = word_bpe.WordEncoder(PATH)
-    cuts = []
-    plain = own._fragment
-    own._fragment = lambda symbols, last: cuts.append(len(symbols)) or plain(symbols, last)
-    word = "qzqzjxthe"
-    assert own.word_ids(word) == own.merge(own.marked(word))
-    assert len(cuts) > 1 and sum(cuts) == len(word)
-    inside = own.inside
-    at = 0
-    for size in cuts[:-1]:
-        at += size
-        assert (word[at - 1], own.marked(word)[at]) not in inside
+    word, parts, plain = "qzqzjxthe", [], own.merge
+    whole = plain(own.marked(word))
+    monkeypatch.setattr(own, "merge", lambda symbols: parts.append(symbols) or plain(symbols))
+    assert own.word_ids(word) == whole
+    assert len(parts) > 1 and sum(parts, []) == own.marked(word)
+    for left, right in zip(parts, parts[1:]):
+        assert (left[-1], right[0]) not in own.inside
+
+
+def test_every_letter_that_is_not_normalised_by_the_library(library):
+    own = word_bpe.WordEncoder(PATH)
+    for sign in map(chr, range(1, 0x600)):
+        text = f"a{sign}b {sign}'s{sign}9"
+        assert own.encode(text)[0] == len(library.encode(text, add_special_tokens=False).ids), hex(ord(sign))
+        assert own.encode(text)[2] == library.decode(library.encode(text, add_special_tokens=False).ids, skip_special_tokens=False)
 
 
 def test_small_memory_changes_nothing(monkeypatch, library):
