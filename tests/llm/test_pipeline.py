@@ -10,8 +10,8 @@ from storelens.llm import queries
 from tests.llm.common import documents
 from tests.llm.test_decontamination import brute as brute_leaks
 from tests.llm.test_line_dedup import brute as brute_lines
+from tests.llm.test_near import brute_kept
 from tests.llm.test_quality import rows_and_labels
-from tests.llm.test_simhash import brute_components, brute_print
 from storelens.llm import quality
 
 
@@ -51,12 +51,9 @@ def test_run_matches_the_stages_by_brute_force(spark, sf):
     left = [(i, t) for i, t in rows if i in kept]
     assert 0 < len(left) < len(rows)
     left = [(i, t) for i, _, n, t in brute_lines(left) if n == 0 or t.split()]
-    prints = {i: brute_print(t) for i, t in left}
-    roots = brute_components(set(prints.values()))
-    first = {}
-    for i, _ in sorted(left):
-        first.setdefault(roots[prints[i]], i)
-    left = [(i, t) for i, t in left if i in first.values()]
+    first = set(brute_kept(left))
+    assert len(first) < len(left)
+    left = [(i, t) for i, t in left if i in first]
     leaks = {i for i, _, hit, _ in brute_leaks(left, items) if hit}
     assert leaks
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))

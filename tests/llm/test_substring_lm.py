@@ -70,11 +70,19 @@ def brute_chunks(w):
     """Chunks by the stated rule, from the words' own hashes."""
     h = [int(x) for x in word_hashes(w)]
     mask = 2**64 - 1
-    cut = {0, len(w)}
+    cut, mixed = {0, len(w)}, {}
     for i in range(1, len(w) + 1):
         gear = sum(h[i - 1 - j] << j for j in range(substring.GEAR_WORDS) if i - 1 - j >= 0) & mask
-        if int(substring.mix(np.array([gear], np.uint64))[0]) < (1 << 64) // substring.CUT_ONE_IN:
+        mixed[i] = int(substring.mix(np.array([gear], np.uint64))[0])
+        if mixed[i] < (1 << 64) // substring.CUT_ONE_IN:
             cut.add(i)
+    # a window without a cut is cut at all its smallest hashes
+    natural = sorted(cut)
+    for low, high in zip(natural, natural[1:]):
+        for first in range(low + 1, high - substring.WINDOW + 1):
+            window = range(first, first + substring.WINDOW)
+            least = min(mixed[i] for i in window)
+            cut.update(i for i in window if mixed[i] == least)
     out = []
     for a in sorted(cut):
         if a + substring.LEAST <= len(w):
