@@ -10,7 +10,6 @@ allow, however large the corpus; blocks have a bounded size, and groups of block
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +23,7 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from storelens.llm.blocks import block_number, packed, unpacked
 from storelens.llm.pieces import SPACE, text_runs
-from storelens.llm.token_files import PRE_TOKEN, byte_signs
+from storelens.llm.token_files import byte_level_spec, plain_encoding
 from storelens.llm.words import mix
 from storelens.llm.workers import map_batches, ship
 from storelens.operators.staging import stage
@@ -46,24 +45,9 @@ class Aligner:
     """
 
     def __init__(self, byte_tokenizer: str, piece_model: str) -> None:
-        import tiktoken
         from sentencepiece import sentencepiece_model_pb2 as schema
 
-        with open(byte_tokenizer, encoding="utf-8") as f:
-            spec = json.load(f)
-        before, model = spec["pre_tokenizer"] or {}, spec["model"]
-        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-        if not plain or spec["normalizer"] or model.get("dropout") or model.get("ignore_merges"):
-            raise ValueError("a byte-level tokenizer without normalisation is needed")
-        signs = {s: b for b, s in byte_signs().items()}
-        special = {t["content"] for t in spec["added_tokens"]}  # their strings in a text are text
-        ranks = {bytes(map(signs.get, t)): i for t, i in model["vocab"].items() if t not in special}
-        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-        if merged != sorted(merged) or len(ranks) != len(merged) + 256 or merged and merged[0] < 256:
-            raise ValueError("ids in the order of the merges are needed")
-        self.a = tiktoken.Encoding("a", pat_str=PRE_TOKEN.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.a_bytes = _by_id(ranks)
-
+        self.a, self.a_bytes = plain_encoding(byte_level_spec(byte_tokenizer))
         pieces = schema.ModelProto()
         with open(piece_model, "rb") as f:
             pieces.ParseFromString(f.read())
@@ -166,13 +150,6 @@ class Aligned(NamedTuple):
     bad: np.ndarray
 
 
-def _by_id(ranks: dict[bytes, int]) -> list[bytes]:
-    out = [b""] * (max(ranks.values()) + 1)
-    for data, i in ranks.items():
-        out[i] = data
-    return out
-
-
 @lru_cache(maxsize=2)
 def aligner(byte_tokenizer: str, piece_model: str) -> Aligner:
     return Aligner(byte_tokenizer, piece_model)

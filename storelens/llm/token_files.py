@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import os
-import struct
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from storelens.llm.words import pieces
@@ -18,9 +20,8 @@ from storelens.llm.workers import map_batches
 
 #: id appended to each document
 END = 0
-#: stretches of text, and pre-tokens, that a worker remembers in each of two generations
+#: stretches of text that a worker remembers in each of two generations, besides those of one batch
 MEMORY = 200_000
-LONGEST_KEPT = 64
 #: bytes of text in an output batch
 STEP_BYTES = 1 << 21
 #: rows of a row-index entry, bytes of a stripe, and the Bloom filters' rate of false hits
@@ -34,12 +35,7 @@ ORC_OPTIONS = {
 
 
 # Fixed value: the pattern of pre-tokens that byte-level tokenizers share.
-PRE_TOKEN = regex.compile(
-    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-)
-
-
-SIGNS = frozenset(".,;:!?")
+PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_signs() -> dict[int, str]:
@@ -49,13 +45,41 @@ def byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def byte_level_spec(path: str) -> dict:
+    """Content of a tokenizer file, which has to be byte-level and without normalisation."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    before, model = spec["pre_tokenizer"] or {}, spec["model"]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    if not plain or spec["normalizer"] or model.get("dropout") or model.get("ignore_merges"):
+        raise ValueError("a byte-level tokenizer without normalisation is needed")
+    return spec
+
+
+def plain_encoding(spec: dict) -> tuple[tiktoken.Encoding, list[bytes]]:
+    """The file's merges without its added tokens, whose strings are text, and the bytes of each id."""
+    model, signs = spec["model"], {s: b for b, s in byte_signs().items()}
+    added = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(map(signs.get, t)): i for t, i in model["vocab"].items() if t not in added}
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(merged) or len(ranks) != len(merged) + 256 or merged and merged[0] < 256:
+        raise ValueError("ids in the order of the merges are needed")
+    names = [b""] * (max(ranks.values()) + 1)
+    for data, i in ranks.items():
+        names[i] = data
+    return tiktoken.Encoding("plain", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}), names
+
+
+#: a blank beside other white space, or at the end
+BESIDE = re.compile(r"\s | \s| \Z")
+
+
 class TextEncoder:
     """Ids of texts by a byte-level tokenizer file, with stretches between single blanks remembered.
 
     The file's pre-tokenizer joins one blank to the characters after it, and no
     pre-token holds a single blank behind another character. So a text can be cut before such blanks, and the
-    ids of the stretches are put together; a text in which a blank meets other white space is not cut. A stretch that is not remembered is split into
-    pre-tokens, which the library's model encodes one by one. Texts with added tokens go to the library whole.
+    ids of the stretches are put together; a text in which a blank meets other white space is not cut. Texts with added tokens go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -63,68 +87,57 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        import json
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        before = spec["pre_tokenizer"] or {}
-        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-        if not plain or spec["normalizer"] or spec["model"].get("dropout"):
-            raise ValueError("a byte-level tokenizer without normalisation is needed")
+        spec = byte_level_spec(path)
         if any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens may not take blanks")
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.model, self.signs = self.tokenizer.model, byte_signs()
+        self.plain, names = plain_encoding(spec)
+        self.sizes = np.array([len(x) for x in names], np.int64)
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-        self.tokens_now: dict[str, bytes] = {}
-        self.tokens_before: dict[str, bytes] = {}
-
-    def _pre_token(self, text: str) -> bytes:
-        got = self.tokens_now.get(text) or self.tokens_before.get(text)
-        if got is None:
-            signs = text.encode().decode("latin-1").translate(self.signs)
-            ids = [t.id for t in self.model.tokenize(signs)]
-            got = struct.pack(f"<{len(ids)}I", *ids)
-        if len(text) <= LONGEST_KEPT and text not in self.tokens_now:
-            if len(self.tokens_now) >= MEMORY:
-                self.tokens_before, self.tokens_now = self.tokens_now, {}
-            self.tokens_now[text] = got
-        return got
-
-    def _pre_tokens(self, text: str) -> bytes:
-        return b"".join([self._pre_token(t) for t in PRE_TOKEN.findall(text)])
-
-    def _stretch(self, text: str) -> bytes | None:
-        """Ids of a blank and what follows it up to the next one; none where that blank meets other white space."""
-        if not text or text[0].isspace() or text[-1].isspace():
+
+    def _plain(self, text: str) -> bytes:
+        return array("I", self.plain.encode_ordinary(text)).tobytes()
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Encodes new stretches, one behind the other with a blank before each, and cuts the ids where the stretches end."""
+        ids = self.plain.encode_ordinary(f" {' '.join(stretches)}")
+        ends = np.cumsum(self.sizes[ids])
+        cuts = np.searchsorted(ends, np.cumsum([len(s.encode()) + 1 for s in stretches]), side="right")
+        data, at = array("I", ids).tobytes(), 0
+        for stretch, cut in zip(stretches, (4 * cuts).tolist()):
+            self.now[stretch] = data[at:cut]
+            at = cut
+
+    def _parts(self, text: str) -> list[str] | None:
+        """The text cut at its blanks; none where a blank meets other white space, or an added token stands in the text."""
+        if any(t in text for t in self.added):
             return None
-        got = self.before.get(text)
-        if got is None:
-            if text.isalpha():  # letters alone, or before one sign, need no pattern
-                got = self._pre_token(f" {text}")
-            elif text[-1] in SIGNS and text[:-1].isalpha():
-                got = self._pre_token(f" {text[:-1]}") + self._pre_token(text[-1])
+        return None if BESIDE.search(text) else text.split(" ")
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as unsigned 32-bit numbers."""
+        cut = [self._parts(t) for t in texts]
+        wanted = set().union(*[parts[1:] for parts in cut if parts])
+        new = wanted - self.now.keys()
+        if len(self.now) + len(new) > MEMORY:
+            self.before, self.now = self.now, {}
+            new = wanted
+        old = {s: self.before[s] for s in new if s in self.before}
+        self.now.update(old)
+        if len(old) < len(new):
+            self._learn([s for s in new if s not in old])
+        now = self.now
+        for text, parts in zip(texts, cut):
+            if parts is not None:
+                yield self._plain(parts[0]) + b"".join([now[s] for s in parts[1:]])
+            elif any(t in text for t in self.added):
+                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
             else:
-                got = self._pre_tokens(f" {text}")
-        if len(text) <= LONGEST_KEPT:
-            if len(self.now) >= MEMORY:
-                self.before, self.now = self.now, {}
-            self.now[text] = got
-        return got
+                yield self._plain(text)
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if any(t in text for t in self.added):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *rest = text.split(" ")
-        if rest and first[-1:].isspace():
-            return self._pre_tokens(text)
-        get, stretch = self.now.get, self._stretch
-        found = [get(x) or stretch(x) for x in rest]
-        return self._pre_tokens(text) if None in found else self._pre_tokens(first) + b"".join(found)
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=2)
@@ -147,7 +160,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end: int = END) -> DataFra
         for whole in batches:
             for row, _, offsets in pieces(whole.column(1), STEP_BYTES):
                 batch = whole.slice(row, len(offsets) - 1)
-                found = [own.encode(t.as_py()) + last for t in batch.column(1)]
+                found = [x + last for x in own.encode_all(batch.column(1).to_pylist())]
                 ends = np.cumsum([len(x) // 4 for x in found])
                 ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
                 places = np.concatenate([[0], ends])
