@@ -174,6 +174,7 @@ class CartConfig:
     window: str = "0d/now"
     session_gap_seconds: int = 1800
     idle_minutes: int = 20
+    slice_seconds: int = 60
     cart_path: str = "/cart"
     max_items: int = 4
     purchase_hours: int = 48

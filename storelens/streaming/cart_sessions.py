@@ -1,8 +1,8 @@
 """Abandoned carts from a stream of web events (Structured Streaming).
 
-The batch job re-reads the current day every hour. Here the open sessions are
-state by cookie, and an event-time timer releases a cart as soon as its visitor has
-been idle for ``idle_minutes``. Rows later than the watermark are left to the night batch.
+The batch job re-reads the current day every hour. Here the tasks that read the events sum them up by visitor and
+short slice of time; the open sessions are state by cookie, into which slices are taken, and an event-time timer
+releases a cart as soon as its visitor has been idle for ``idle_minutes``. Slices later than the watermark are left to the night batch.
 """
 
 from __future__ import annotations
@@ -52,16 +52,13 @@ class _Session:
     def opened(at: int) -> _Session:
         return _Session((at, at, 0, None, False, False, "{}"))
 
-    def add(self, at: int, event: int, user: str | None, bought: bool, listed: str | None) -> None:
-        self.last, self.n, self.told = at, self.n + 1, False
-        self.bought |= bought
-        if isinstance(user, str) and (self.user is None or user > self.user):
-            self.user = user
-        for place, item in enumerate(json.loads(listed) if isinstance(listed, str) else []):
-            name = (item or {}).get("item_id")
-            if not name:
-                continue
-            row = [at, -place, event, item.get("item_name"), item.get("item_category")]
+    def add(self, part: tuple) -> None:
+        """Takes in a slice: its first and last time, events, largest user, purchase, and newest row of each item."""
+        self.last, self.n, self.told = max(self.last, part.last), self.n + part.n, False
+        self.bought |= bool(part.bought)
+        if isinstance(part.user, str) and (self.user is None or part.user > self.user):
+            self.user = part.user
+        for name, row in json.loads(part.cart).items():
             if name not in self.cart or row[:3] > self.cart[name][:3]:
                 self.cart[name] = row
 
@@ -78,13 +75,103 @@ class _Session:
         return [(code, cookie, self.user, start, last, self.n, json.dumps(items))]
 
 
+_PER_ITEM = ["cookie", "slice", "item_id"]
+_NEWEST = ["at", "up", "event_id"]
+SLICE = "cookie string, until timestamp, first bigint, last bigint, n bigint, user string, bought boolean, cart string"
+#: rows that a task gathers before it sums them up
+GATHERED = 200_000
+
+
+def _summed(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per cookie, slice and item, with the item's newest row; rows that are summed already may be among them."""
+    sums = rows.groupby(_PER_ITEM, sort=False).agg(
+        first=("first", "min"), last=("last", "max"), n=("n", "sum"), user=("user", "max"), bought=("bought", "max")
+    )
+    newest = rows.sort_values(_NEWEST).drop_duplicates(_PER_ITEM, keep="last")
+    return newest[[*_PER_ITEM, *_NEWEST, "item_name", "item_category"]].join(sums, on=_PER_ITEM)
+
+
+def _listed_slices(rows: pd.DataFrame) -> pd.DataFrame:
+    """A row per cookie and slice; its items are listed in it. The empty item stands for events without one."""
+    keys = ["cookie", "slice"]
+    out = rows.groupby(keys, sort=False, as_index=False).agg(
+        first=("first", "min"), last=("last", "max"), n=("n", "sum"), user=("user", "max"), bought=("bought", "max")
+    )
+    carts: dict[tuple, dict[str, list]] = {}
+    items = rows[rows["item_id"] != ""]
+    names = [*keys, "item_id", *_NEWEST, "item_name", "item_category"]
+    for cookie, at_slice, name, *row in zip(*(items[c].tolist() for c in names)):
+        carts.setdefault((cookie, at_slice), {})[name] = row
+    out["cart"] = [json.dumps(carts.get(key, {})) for key in zip(out["cookie"].tolist(), out["slice"].tolist())]
+    out["until"] = pd.to_datetime(out["last"], unit="us")
+    out["cookie"] = [c or None for c in out["cookie"]]
+    out["user"] = [u[1:] if u else None for u in out["user"]]
+    return out[[c.split()[0] for c in SLICE.split(", ")]]
+
+
+def _slices_of_task(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    gathered: list[pd.DataFrame] = []
+    count = 0
+    for rows in parts:
+        gathered.append(rows)
+        count += len(rows)
+        if count >= GATHERED:
+            gathered = [_summed(pd.concat(gathered))]
+            count = len(gathered[0])
+            if 2 * count >= GATHERED:  # they do not get fewer
+                yield _listed_slices(gathered.pop())
+                count = 0
+    if count:
+        yield _listed_slices(_summed(pd.concat(gathered)))
+
+
+def slices(events: DataFrame, cfg) -> DataFrame:
+    """Events summed up by cookie and slice of ``slice_seconds``, in the tasks that read them.
+
+    However many events of a cookie fall into a slice, a task makes one row of them (more only if it reads
+    very many slices), so a cookie with a third of all events reaches its state as a row per slice and
+    task. A slice is no longer than the idle time, so no visitor falls idle within one. Needs no state, so
+    it can stand before the sessions.
+    """
+    if not 0 < cfg.slice_seconds <= cfg.idle_minutes * 60:
+        raise ValueError("a slice has to be as short as the idle time")
+    ship(events.sparkSession)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    listed = F.when(F.col("td_path") == cfg.cart_path, _listed(F.col("items")))
+    each = events.filter(F.col("ts").isNotNull()).select(
+        F.coalesce("cookie", F.lit("")).alias("cookie"),
+        at.alias("at"),
+        F.coalesce("event_id", F.lit(0)).cast("bigint").alias("event_id"),
+        F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit("")).alias("user"),
+        not_blank("ecommerce").alias("bought"),
+        F.posexplode_outer(listed).alias("place", "item"),
+    )
+    rows = each.select(
+        "cookie",
+        F.floor(F.col("at") / F.lit(cfg.slice_seconds * MICROS)).cast("bigint").alias("slice"),
+        F.coalesce("item.item_id", F.lit("")).alias("item_id"),
+        "at",
+        F.coalesce(-F.col("place"), F.lit(0)).cast("bigint").alias("up"),
+        "event_id",
+        "item.item_name",
+        "item.item_category",
+        F.col("at").alias("first"),
+        F.col("at").alias("last"),
+        F.when(F.coalesce("place", F.lit(0)) == 0, 1).otherwise(0).cast("bigint").alias("n"),
+        "user",
+        "bought",
+    )
+    return rows.mapInPandas(_slices_of_task, SLICE)
+
+
 def due_carts(events: DataFrame, cfg, delay: str = "1 minute") -> DataFrame:
     """A row for each time a session with a cart and no purchase falls idle.
 
     ``events`` is a stream of ts, event_id, cookie, user_id, td_path, items and
     ecommerce. A session ends at a pause of more than ``session_gap_seconds``; a visitor who
     comes back before that continues it, and its cart may fall due once more. The cart holds the
-    newest row of every item seen in the session, newest items first.
+    newest row of every item seen in the session, newest items first. The state function gets a row per slice
+    and reading task (``slices``), not one per event.
     """
     idle, gap = cfg.idle_minutes * 60 * MICROS, cfg.session_gap_seconds * MICROS
 
@@ -96,15 +183,14 @@ def due_carts(events: DataFrame, cfg, delay: str = "1 minute") -> DataFrame:
             out += session.release(cookie)
         else:
             rows = pd.concat(list(parts))
-            rows["at"] = rows["ts"].astype("datetime64[us]").astype("int64")
-            # Spark itself drops what is older than the watermark of the batch before
-            for r in rows[rows["at"] >= now].sort_values(["at", "event_id"]).itertuples():
-                if session is not None and r.at - session.last > idle:
+            # Spark itself drops what ends before the watermark of the batch before
+            for part in rows[rows["last"] >= now].sort_values(["first", "last"]).itertuples():
+                if session is not None and part.first - session.last > idle:
                     out += session.release(cookie)
-                    if r.at - session.last > gap:
+                    if part.first - session.last > gap:
                         session = None
-                session = session or _Session.opened(r.at)
-                session.add(r.at, r.event_id, r.user_id, bool(r.bought), r.listed)
+                session = session or _Session.opened(part.first)
+                session.add(part)
         if session is not None and now > session.last + idle:
             out += session.release(cookie)
         if session is None or now > session.last + gap:
@@ -116,18 +202,9 @@ def due_carts(events: DataFrame, cfg, delay: str = "1 minute") -> DataFrame:
         if out:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
 
-    ship(events.sparkSession)
-    in_cart = F.col("td_path") == cfg.cart_path
     return (
-        events.select(
-            F.col("ts").cast("timestamp").alias("ts"),
-            "event_id",
-            "cookie",
-            "user_id",
-            not_blank("ecommerce").alias("bought"),
-            F.when(in_cart, F.to_json(_listed(F.col("items")))).alias("listed"),
-        )
-        .withWatermark("ts", delay)
+        slices(events, cfg)
+        .withWatermark("until", delay)
         .groupBy("cookie")
         .applyInPandasWithState(run, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )

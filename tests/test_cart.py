@@ -3,6 +3,7 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,6 +270,49 @@ def test_a_cart_comes_out_twenty_minutes_after_its_last_event(spark, tmp_path):
         assert _streamed(spark, tmp_path / str(minute), first, clock) == released
 
 
+def test_a_cookie_with_a_third_of_all_events_reaches_its_state_as_a_row_per_slice(spark):
+    noon = 1_706_616_000
+    rows = [
+        (noon + k % 600, k, "hot" if k % 3 == 0 else f"c{k}", f"u{k % 7}", "/cart", _cart(f"I{k % 5}"), None) for k in range(9000)
+    ]
+    made = spark.createDataFrame(rows, STREAM_SCHEMA.replace("ts timestamp", "ts bigint"))
+    events = made.withColumn("ts", F.timestamp_seconds("ts")).repartition(3, "event_id")
+    got = cart_sessions.slices(events, CFG).filter("cookie = 'hot'").collect()
+    assert 10 <= len(got) <= 3 * 10  # ten minutes, three tasks
+    assert sum(r.n for r in got) == 3000
+    newest = {}
+    for r in got:
+        for name, row in json.loads(r.cart).items():
+            newest[name] = max(newest.get(name, row), row)
+    want = {}
+    for t, k, cookie, *_ in rows:
+        if cookie == "hot":
+            want[f"I{k % 5}"] = max(want.get(f"I{k % 5}", [0]), [t * 10**6, 0, k])
+    assert {name: row[:3] for name, row in newest.items()} == want
+    assert max(r.user for r in got) == "u6" and min(r.first for r in got) == noon * 10**6
+
+
+def _item_rows(k):
+    base = {"cookie": "a", "slice": 1, "up": 0, "item_name": "x", "item_category": None, "user": "", "bought": False}
+    row = lambda item, n, event: {**base, "item_id": item, "n": n, "at": k, "first": k, "last": k, "event_id": event}
+    return [row("A", 1, k), row("A", 1, 10 + k), row("B", 1, 20 + k)]
+
+
+def test_slices_summed_up_in_several_steps_are_the_same(spark, monkeypatch):
+    events = spark.createDataFrame(
+        [(datetime(2024, 1, 30, 12, 0, k % 60), k, None if k % 4 == 0 else f"c{k % 4}", None, "/cart", _cart("A", "B"), "") for k in range(400)],
+        STREAM_SCHEMA,
+    ).coalesce(1)
+    whole = sorted(cart_sessions.slices(events, CFG).collect(), key=str)
+    assert len(whole) == 4 and {r.n for r in whole} == {100}
+    frames = [pd.DataFrame(_item_rows(k)) for k in range(3)]
+    assert cart_sessions._summed(pd.concat(frames))["n"].tolist() == [6, 3]
+    step = cart_sessions._summed(pd.concat([cart_sessions._summed(pd.concat(frames[:2])), frames[2]]))
+    assert step["n"].tolist() == [6, 3] and step["event_id"].tolist() == [12, 22]
+    with pytest.raises(ValueError, match="idle"):
+        cart_sessions.slices(events, CFG.but(slice_seconds=100_000))
+
+
 def test_late_rows_are_left_to_the_batch(spark, tmp_path):
     first = [(0, 1, "a", "ua", "/cart", _cart("A"), None), (60, 2, "clock", "uc", "/", None, None)]
     late = [(2, 3, "a", "ua", "/cart", _cart("LATE"), None), (3, 4, "z", "uz", "/cart", _cart("Z"), None)]
