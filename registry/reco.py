@@ -9,6 +9,7 @@ from storelens import config as C
 from storelens.operators.staging import stage
 from storelens.plans.reco import association, behaviour, bestsellers, final, learned
 from storelens.plans.reco import similarity, stages
+from storelens.plans.reco.shared import share_windows
 
 YEARS = 3650
 SEASONS = {
@@ -66,7 +67,7 @@ def _reco_config():
 
 
 def _pool(spark, sf):
-    t = views(spark, sf, "products", "purchases", "members", "weblog")
+    t = share_windows(views(spark, sf, "products", "purchases", "members", "weblog"), _reco_config(), AS_OF, MERGED)
     # scores to eight digits, as the oracle has them
     return t, rounded(final.candidate_pool(t, _reco_config(), AS_OF, MERGED), "score")
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from storelens.functions.timewin import in_window
+from storelens.plans.reco.shared import WindowScan
 
 Tables = Mapping[str, DataFrame]
 
@@ -43,15 +44,22 @@ def by_rank() -> Column:
     return F.lit(1.0).cast("double") / F.col("rank_in_logic")
 
 
+def rows_in(t: Tables, name: str, spec: str, as_of: datetime, tz: str) -> DataFrame:
+    """Rows of a table in a window; from the run's shared scan where there is one."""
+    if isinstance(t, WindowScan):
+        return t.window(name, spec, as_of, tz)
+    return in_window(t[name], spec, as_of, tz)
+
+
 def weblog(t: Tables, cfg, as_of: datetime, key: str | None = None) -> DataFrame:
     """Web events in the logic's window that carry its key, as ``key_value``."""
     key = key or cfg.key_column
-    rows = in_window(t["weblog"], cfg.window, as_of, cfg.tz)
+    rows = rows_in(t, "weblog", cfg.window, as_of, cfg.tz)
     return rows.filter(F.col(key).isNotNull()).withColumn("key_value", F.col(key))
 
 
 def purchases(t: Tables, cfg, as_of: datetime) -> DataFrame:
-    return in_window(t["purchases"], cfg.window, as_of, cfg.tz)
+    return rows_in(t, "purchases", cfg.window, as_of, cfg.tz)
 
 
 def owned(t: Tables, cfg, as_of: datetime) -> DataFrame:
@@ -61,6 +69,6 @@ def owned(t: Tables, cfg, as_of: datetime) -> DataFrame:
 
 
 def active_keys(t: Tables, cfg, as_of: datetime, days: int) -> DataFrame:
-    rows = in_window(t["weblog"], f"-{days}d", as_of, cfg.tz)
+    rows = rows_in(t, "weblog", f"-{days}d", as_of, cfg.tz)
     key = F.col(cfg.key_column)
     return rows.filter(key.isNotNull()).select(key.alias("key_value")).distinct()

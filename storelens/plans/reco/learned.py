@@ -11,12 +11,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, functions as F
 
-from storelens.functions.timewin import in_range, in_window, window_bounds
+from storelens.functions.timewin import in_range, window_bounds
 from storelens.operators.ids import dense_ids
 from storelens.operators.joins import salted_join
 from storelens.operators.ranking import topk_per_key
 from storelens.operators.staging import checkpoint_home, stage
-from storelens.plans.reco.base import CANDIDATE_SCHEMA, Tables, candidates, purchases
+from storelens.plans.reco.base import CANDIDATE_SCHEMA, Tables, candidates, purchases, rows_in
 
 FEATURES = [
     "pv_count",
@@ -29,7 +29,7 @@ FEATURES = [
 
 def _stitched(t: Tables, cfg, as_of: datetime) -> DataFrame:
     """Web events with the member their cookie belongs to."""
-    rows = in_window(t["weblog"], cfg.window, as_of, cfg.tz).drop("member_id")
+    rows = rows_in(t, "weblog", cfg.window, as_of, cfg.tz).drop("member_id")
     return salted_join(rows, t["id_mapping"].select("member_id", "cookie"), "cookie", "ts")
 
 
