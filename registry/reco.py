@@ -22,7 +22,7 @@ REPURCHASE = C.RepurchaseConfig(lookback_days=YEARS)
 COOC = C.CooccurrenceConfig(lookback_days=YEARS, min_cooccurrence_count=2)
 BASKET = C.BasketConfig(lookback_days=YEARS, min_support_count=2)
 DENSE = C.BasketConfig(lookback_days=YEARS, min_support_count=20, min_lift=1.0)
-JACCARD = C.UserCfConfig(lookback_days=YEARS, min_common_products=4)
+JACCARD = C.UserCfConfig(lookback_days=YEARS)
 SEASON = C.SeasonConfig(season_categories=SEASONS)
 BANDIT = C.BanditConfig(enabled=True, min_impressions=20)
 RFM = C.RfmConfig()
@@ -469,7 +469,7 @@ JACCARD_SQL = candidate_sql(
                    count(*) / (any_value(x.n) + any_value(y.n) - count(*)) as jaccard
             from has a join has b on a.p = b.p and a.u <> b.u
                  join size x on x.u = a.u join size y on y.u = b.u
-            group by 1, 2 having count(*) >= 4
+            group by 1, 2 having count(*) >= 3
             qualify row_number() over (partition by target order by jaccard desc, neighbour) <= 20),
         found as (
             select target as key_value, p as product_id,
