@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from registry.common import AS_OF, NOW, candidate_sql, rounded, views, win, with_views
 from storelens import config as C
 from storelens.operators.staging import stage
-from storelens.plans.reco import association, behaviour, bestsellers, final, learned
+from storelens.plans.reco import association, behaviour, bestsellers, factors, final, learned
 from storelens.plans.reco import similarity, stages
 from storelens.plans.reco.shared import share_windows
+from storelens.sources.tables import read_tables
 
 YEARS = 3650
 SEASONS = {
@@ -168,6 +169,36 @@ def ratings_query(spark, sf):
     return rounded(learned.ratings(rows).select("member_id", "product_id", "rating"), "rating")
 
 
+def biases_query(spark, sf):
+    rated = stage(learned.ratings(learned.interactions(views(spark, sf, "purchases"), CF, AS_OF)))
+    users, items = factors.shrunk_biases(rated, "member_id", "product_id", rounds=2)
+    users = users.select(F.lit("member").alias("kind"), F.col("member_id").alias("id"), F.col("user_bias").alias("bias"))
+    items = items.select(F.lit("product").alias("kind"), F.col("product_id").alias("id"), F.col("item_bias").alias("bias"))
+    return rounded(users.unionByName(items), "bias")
+
+
+def best_unowned_query(spark, sf):
+    """Factors taken from customers and parts, whole numbers so that every engine scores them alike."""
+    t = read_tables(spark, sf, ("customer", "part", "orders", "lineitem"))
+    number = lambda c: F.floor(c).cast("double")
+    users = t["customer"].select(
+        F.col("c_custkey").alias("u"),
+        F.array(
+            number(F.col("c_nationkey") - 12), number(F.col("c_acctbal").cast("double") / 1000), F.lit(1.0)
+        ).alias("vector"),
+    )
+    items = t["part"].select(
+        F.col("p_partkey").alias("i"),
+        F.col("p_partkey").cast("string").alias("name"),
+        F.array(
+            number(F.col("p_size")), number(F.col("p_retailprice").cast("double") / 50), number(F.col("p_partkey") % 64)
+        ).alias("vector"),
+    )
+    owned = t["orders"].join(t["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
+    owned = owned.select(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"))
+    return factors.best_unowned(users, items, owned, 10, block=256).drop("name")
+
+
 def probability_query(spark, sf):
     t = views(spark, sf, *WEB)
     return rounded(learned.purchase_probability(t, PROBABILITY, AS_OF), "purchase_probability", digits=4)
@@ -266,6 +297,8 @@ QUERIES = {
     "K03_scores_to_candidates": scores_query,
     "K04_interactions": interactions_query,
     "K05_ratings": ratings_query,
+    "K06_biases": biases_query,
+    "K06_best_unowned": best_unowned_query,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -664,6 +697,32 @@ RATINGS_SQL = f"""
            round(1 + 4 * interaction_value / (select greatest(max(interaction_value), 1) from i), 8)
                as rating
     from i"""
+BIASES_SQL = f"""
+    with i as ({INTERACTIONS_SQL}),
+    r as (
+        select member_id, product_id,
+               1 + 4 * cast(interaction_value as double) / (select greatest(max(interaction_value), 1) from i) as rating
+        from i where member_id is not null and product_id is not null),
+    d as (select member_id, product_id, rating - (select avg(rating) from r) as rest from r),
+    i1 as (select product_id, sum(rest) / (count(*) + 10) as b from d group by 1),
+    u1 as (select member_id, sum(rest - b) / (count(*) + 15) as b from d join i1 using (product_id) group by 1),
+    i2 as (select product_id, sum(rest - b) / (count(*) + 10) as b from d join u1 using (member_id) group by 1),
+    u2 as (select member_id, sum(rest - b) / (count(*) + 15) as b from d join i2 using (product_id) group by 1)
+    select 'member' as kind, member_id as id, round(b, 8) as bias from u2
+    union all select 'product', product_id, round(b, 8) from i2"""
+BEST_UNOWNED_SQL = """
+    select u, i, score, rank from (
+        select c_custkey as u, p_partkey as i, score,
+               cast(row_number() over (partition by c_custkey order by score desc, cast(p_partkey as varchar)) as integer)
+                   as rank
+        from (select c_custkey, p_partkey,
+                     cast((c_nationkey - 12) * p_size
+                          + floor(cast(c_acctbal as double) / 1000) * floor(cast(p_retailprice as double) / 50)
+                          + p_partkey % 64 as double) as score
+              from customer, part) scored
+        where not exists (select 1 from orders join lineitem on o_orderkey = l_orderkey
+                          where o_custkey = c_custkey and l_partkey = p_partkey)) ranked
+    where rank <= 10"""
 
 #: every member with a positive quantity in the window and a product not yet bought is served
 CF_PROPERTIES = f"""
@@ -720,5 +779,7 @@ ORACLES = {
     "K03_scores_to_candidates": SCORES_SQL,
     "K04_interactions": INTERACTIONS_SQL,
     "K05_ratings": RATINGS_SQL,
+    "K06_biases": BIASES_SQL,
+    "K06_best_unowned": BEST_UNOWNED_SQL,
 }
 ORACLES = {k: with_views(v) for k, v in ORACLES.items()}

@@ -17,6 +17,7 @@ from storelens.operators.joins import salted_join
 from storelens.operators.ranking import topk_per_key
 from storelens.operators.staging import checkpoint_home, stage
 from storelens.plans.reco.base import CANDIDATE_SCHEMA, Tables, candidates, purchases, rows_in
+from storelens.plans.reco.factors import best_unowned, shrunk_biases
 
 FEATURES = [
     "pv_count",
@@ -183,44 +184,27 @@ def ratings(rows: DataFrame) -> DataFrame:
 
 
 def user_based_cf(t: Tables, cfg, as_of: datetime) -> DataFrame:
-    """Unowned products with the best predicted rating (ALS on member-centred ratings).
+    """Unowned products with the best predicted rating: mean, member bias and product bias, and factors of the rest (ALS).
 
-    The global and the member mean (shrunk) are taken off first. Both are the
-    same for all products of a member, so the factor product alone orders a
-    member's list. Members are scored in tiers of the number of products they
-    own, because ``own + top_n`` predictions are needed to have ``top_n`` left:
-    the rows made stay proportional to the purchases, whoever owns most.
+    Mean and member bias are the same for all products of a member, so product bias and factor product order a
+    member's list; the bias stands in the vectors as one more factor, and ``best_unowned`` finds the best
+    products without scoring all pairs.
     """
     spark = t["purchases"].sparkSession
     checkpoint_home(spark)
     rows = interactions(t, cfg, as_of).filter(F.col("interaction_value") >= cfg.min_interactions)
-    rated = ratings(rows).select("member_id", "product_id", "rating")
-    mean = rated.agg(F.avg("rating").alias("mean")).scalar()
-    bias = (
-        rated.withColumn("mean", mean)
-        .groupBy("member_id")
-        .agg(
-            F.first("mean").alias("mean"),
-            (F.sum(F.col("rating") - F.col("mean")) / (F.count("*") + 10)).alias("bias"),
-            F.count("*").alias("owned"),
-        )
-    )
-    centred = rated.join(bias, "member_id").select(
-        "member_id",
-        "product_id",
-        "owned",
-        (F.col("mean") + F.col("bias")).alias("level"),
-        (F.col("rating") - F.col("mean") - F.col("bias")).alias("rest"),
-    )
-    centred = stage(centred)
-    if centred.isEmpty():
+    rated = stage(ratings(rows).select("member_id", "product_id", "rating"))
+    if rated.isEmpty():
         return spark.createDataFrame([], CANDIDATE_SCHEMA)
-    coded = stage(
-        centred.join(dense_ids(centred, "member_id", "u"), "member_id").join(
-            dense_ids(centred, "product_id", "i"), "product_id"
-        )
-        .withColumns({"u": F.col("u").cast("int"), "i": F.col("i").cast("int")})
-    )
+    member_bias, product_bias = shrunk_biases(rated, "member_id", "product_id")
+    known = salted_join(rated, member_bias, "member_id", "product_id")
+    known = salted_join(known, product_bias, "product_id", "member_id")
+    level = F.col("mean") + F.col("user_bias")
+    rest = (F.col("rating") - level - F.col("item_bias")).alias("rest")
+    known = known.select("member_id", "product_id", level.alias("level"), "item_bias", rest)
+    coded = salted_join(known, dense_ids(rated, "member_id", "u"), "member_id", "product_id")
+    coded = salted_join(coded, dense_ids(rated, "product_id", "i"), "product_id", "member_id")
+    coded = stage(coded.withColumns({"u": F.col("u").cast("int"), "i": F.col("i").cast("int")}))
     model = ALS(
         userCol="u",
         itemCol="i",
@@ -231,30 +215,13 @@ def user_based_cf(t: Tables, cfg, as_of: datetime) -> DataFrame:
         seed=cfg.seed,
         coldStartStrategy="drop",
     ).fit(coded)
-    users = coded.groupBy("u").agg(
-        F.first("member_id").alias("key_value"),
-        F.first("level").alias("level"),
-        F.first("owned").alias("owned"),
-    )
-    users = stage(users)
-    items = coded.select("i", "product_id").distinct()
-    seen = coded.select("u", "i")
-    most = users.agg(F.max("owned")).first()[0]
-    parts, low, high = [], 0, 16
-    while low < most:
-        tier = users.filter((F.col("owned") > low) & (F.col("owned") <= high)).select("u")
-        parts.append(model.recommendForUserSubset(tier, cfg.top_n + min(high, most)))
-        low, high = high, high * 4
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    fresh = (
-        scored.select("u", F.explode("recommendations").alias("r"))
-        .select("u", F.col("r.i").alias("i"), F.col("r.rating").cast("double").alias("rest"))
-        .join(seen, ["u", "i"], "left_anti")
-        .join(items, "i")
-        .join(users.select("u", "key_value", "level"), "u")
-    )
-    ranked = topk_per_key(fresh, ["key_value"], [F.desc("rest"), F.asc("product_id")], cfg.top_n)
+    members = coded.groupBy("u").agg(F.first("member_id").alias("key_value"), F.first("level").alias("level"))
+    products = coded.groupBy("i").agg(F.first("product_id").alias("name"), F.first("item_bias").alias("item_bias"))
+    factors = F.col("features").cast("array<double>")
+    users = model.userFactors.select(F.col("id").alias("u"), F.concat(factors, F.array(F.lit(1.0))).alias("vector"))
+    items = model.itemFactors.withColumnRenamed("id", "i").join(products, "i")
+    items = items.select("i", "name", F.concat(factors, F.array("item_bias")).alias("vector"))
+    best = best_unowned(stage(users), stage(items), coded.select("u", "i"), cfg.top_n)
+    ranked = best.join(members, "u").withColumnsRenamed({"name": "product_id", "score": "rest", "rank": "rank_in_logic"})
     est = F.least(F.greatest(F.col("level") + F.col("rest"), F.lit(1.0)), F.lit(5.0))
     return candidates(ranked, "member_id", "user_based_cf", est / 5.0, "matrix_factorization")
