@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from storelens.llm.columns import set_aside
 from storelens.llm.words import PUNCTUATION, hashes, mix, pieces, spans, windows
 from storelens.llm.workers import map_batches
 from storelens.operators.staging import stage
@@ -189,6 +190,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+@set_aside("_id", "_hash", "_own")
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in which no word is hit."""
     leaks = find_leaks(docs.select("doc_id", "text"), benchmark).filter("n_hit > 0")

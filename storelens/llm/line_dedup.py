@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from storelens.llm.columns import set_aside
 from storelens.operators.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,6 +54,7 @@ def shared_lines(keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
 
 
+@set_aside("_id", "_hash", "_drop", "_text_hash", "_lines")
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the columns ``n_lines``, ``n_dropped`` and ``kept_text`` added.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from storelens.llm.columns import set_aside
 from storelens.operators.staging import stage
 
 #: a text fails with fewer words, or with a larger share of words in repeated windows
@@ -173,6 +174,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_t
     return full.select("bucket", F.round(ratio * UNIT).cast("long").alias("ratio"))
 
 
+@set_aside("_w", "_h", "_p", "_n", "_g", "_s", "_t", "_mask", "_lines", "_ratios", "_sum")
 def judge(
     docs: DataFrame,
     labels: DataFrame,

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from storelens.llm.columns import set_aside
 from storelens.llm.components import components
 from storelens.llm.workers import map_batches
 from storelens.operators.staging import stage
@@ -163,6 +164,7 @@ def near_copies(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> Data
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+@set_aside("_id", "_hash", "_hash_")
 def drop_near_copies(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from storelens.llm.blocks import ask, block_number, blocks_of, total_of, with_replies
+from storelens.llm.columns import set_aside
 from storelens.llm.words import POWERS, WHITE, hashes, mix, pieces, spans
 from storelens.llm.workers import map_batches
 from storelens.operators.staging import stage
@@ -215,6 +216,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     return with_replies(blocks, replies, _finish, "u1", FOUND)
 
 
+@set_aside("_id", "_hash", "_own", "dropped")
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the words of ``dropped`` taken out of ``text``, all other columns as they are.
 
