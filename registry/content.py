@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+import uuid
+from dataclasses import replace
+from datetime import timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from registry.common import AS_OF, NOW, views, win, with_views
+from registry.common import AS_OF, LOCAL_MIDNIGHT, NOW, views, win, with_views
 from registry.feeds import FEEDS
 from registry.feeds import _channel as channel_query
 from storelens.config import CartConfig
 from storelens.functions import timewin
 from storelens.operators.ranking import ntiles
-from storelens.operators.staging import staging_path
+from storelens.operators.staging import stage, staging_path
 from storelens.plans import content, ingest, segments
 from storelens.plans.cart import weblog
 from storelens.sources import sinks
@@ -202,7 +204,64 @@ def stream_items(spark, sf):
     return out.withColumn("ts", F.unix_seconds("ts"))
 
 
+#: half days after which the capped sends run: start, end
+HALVES = [(LOCAL_MIDNIGHT + timedelta(hours=12 * k), LOCAL_MIDNIGHT + timedelta(hours=12 * k + 12)) for k in range(-6, 2)]
+
+
+def capped_sends(spark, sf):
+    """Released carts of eight half days as batches in order, each against the sends before; one batch is repeated."""
+    carts = stage(stream_sessions(spark, sf).select("user_id_comp", F.timestamp_seconds("last_session_time").alias("ts")))
+    browsed = view(spark, sf, "browser_history")
+    path, at = _home(spark), []
+    cart_sessions.open_history(spark, path)
+    run = cart_sessions.send_batches(STREAM, path, browsed, lambda: at[-1])
+    for no, (start, end) in enumerate(HALVES):
+        at.append(end - timedelta(seconds=1))
+        run(timewin.in_range(carts, start, end), no)
+        if no == 2:
+            run(timewin.in_range(carts, start, end), no)
+    sent = spark.read.schema(cart_sessions.HISTORY).parquet(path)
+    return sent.select("email", "scheduled_time", "sent_on", "batch_id")
+
+
+def replaced_table(spark, sf):
+    """A table that is made, filled, emptied and filled again, as seen by a reader of each content."""
+    clicks = views(spark, sf, "clicks")["clicks"].select("event_id", "member_id", "event_type")
+    name, home = f"storelens_swap_{uuid.uuid4().hex}", _home(spark)
+    seen = []
+    try:
+        for kind in ("purchase", None, "signup"):
+            sinks.replace_table(clicks.filter(F.col("event_type") == F.lit(kind)), name, home)
+            seen.append(spark.table(name).withColumn("step", F.lit(len(seen))))
+        # readers of the former contents come after the last change
+        rows = seen[0].unionByName(seen[1]).unionByName(seen[2])
+        return stage(rows.select("step", "event_id", "member_id", "event_type"))
+    finally:
+        spark.sql(f"drop table if exists {name}")
+
+
+def loaded_sheets(spark, sf):
+    """Two sheets loaded as one commit, a second book appended, and both calls repeated."""
+    grid = views(spark, sf, "grid")["grid"]
+    head = F.col("row_idx") < 2
+    odd, even = (grid.filter(head | (F.col("row_idx") % 2 == n)) for n in (1, 0))
+    first = stage(odd.withColumn("sheet", F.lit("odd")).unionByName(even.withColumn("sheet", F.lit("even"))))
+    second = even.withColumns({"sheet": F.lit("odd"), "file": F.lit("later.xlsx")})
+    specs = [replace(PEOPLE, sheet="odd", table="members"), replace(PEOPLE, sheet="even", table="others")]
+    home = _home(spark)
+    for _ in range(2):
+        ingest.load_sheets(first, specs, AS_OF, home, "first")
+        ingest.load_sheets(second, specs, AS_OF + timedelta(hours=1), home, "second", "append")
+    parts = [ingest.loaded(spark, home, s.table).withColumn("target", F.lit(s.table)) for s in specs]
+    # the second sheet alone has whole numbers in this column
+    parts = [p.withColumn("money_col", F.col("money_col").cast("string")) for p in parts]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
+    "A09_replace_table": replaced_table,
+    "I05_stream_capped_sends": capped_sends,
+    "M26_load_sheets": loaded_sheets,
     "N5_add_utm": utm,
     "N6_html_to_text": texts,
     "N7_extract_links": links,
@@ -461,9 +520,34 @@ def _empty(feed: str, columns: str) -> str:
     return f"select {', '.join(f'coalesce({c}, {chr(39)}{chr(39)}) as {c}' for c in columns.split())} from ({feed}) f"
 
 
+CAPPED = f"""
+    with carts as (
+        select distinct user_id_comp as email, cast(floor((epoch(ts) - {int(HALVES[0][0].replace(tzinfo=timezone.utc).timestamp())}) / 43200) as bigint) as no
+        from ({STREAM_SQL}) s where seq_no = 1 and coalesce(user_id_comp, '') <> ''),
+    asked as (
+        select email, no, strftime(timestamp '{HALVES[0][0]}' + interval 9 hours + to_days(cast(no // 2 as integer)), '%Y-%m-%d') as sent_on
+        from carts where no between 0 and 7),
+    allowed as (
+        select email, no, sent_on from asked a
+        where (select count(*) from browser_history b where b.email = a.email and b.scheduled_time >= a.sent_on || ' 00:00:00') < 2)
+    select email, sent_on || if(min(no) % 2 = 0, ' 11:59:59', ' 23:59:59') as scheduled_time, sent_on, min(no) as batch_id
+    from allowed group by email, sent_on"""
+REPLACED = """
+    select case event_type when 'purchase' then 0 else 2 end as step, event_id, member_id, event_type
+    from clicks where event_type in ('purchase', 'signup')"""
+LOADED = f"""
+    with s as (select * from ({SHEET}) x)
+    select * replace ('odd' as excel_sheet_name), 'members' as target from s where member_id % 2 = 1
+    union all
+    select * replace ('odd' as excel_sheet_name, 'later.xlsx' as excel_name, time + 3600 as time), 'members' from s where member_id % 2 = 0
+    union all
+    select * replace ('even' as excel_sheet_name), 'others' from s where member_id % 2 = 0"""
 YAHOO_COLUMNS = """item_id item_name item_description item_url image_url brand category color size price
     availability condition stock_quantity sale_price gtin jan_code"""
 ORACLES = {
+    "A09_replace_table": REPLACED,
+    "I05_stream_capped_sends": CAPPED,
+    "M26_load_sheets": LOADED,
     "N5_add_utm": UTM_SQL,
     "N6_html_to_text": f"select template_id, {_text('html')} as text from templates",
     "N7_extract_links": LINKS_SQL,

@@ -10,13 +10,14 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from storelens.functions.text import not_blank
+from storelens.functions.timewin import as_utc
 from storelens.operators.shipping import ship
 from storelens.operators.staging import staging_path
 from storelens.plans.cart import sendlist
@@ -225,25 +226,38 @@ def cart_items(sessions: DataFrame, cfg) -> DataFrame:
     )
 
 
+HISTORY = "email string, scheduled_time string, sent_on string, batch_id long"
+
+
+def counted_days(history: DataFrame, cfg, as_of: datetime) -> DataFrame:
+    """Those local days of the history that a cap at ``as_of`` counts: today, with ``rolling_cap`` yesterday too."""
+    first = as_utc(as_of) - timedelta(hours=24) if cfg.rolling_cap else as_of
+    return history.filter(F.col("sent_on") >= sendlist.local_text(first, "%Y-%m-%d", cfg.tz))
+
+
+def open_history(spark: SparkSession, path: str) -> None:
+    """An empty history of sends, by local day and batch."""
+    spark.createDataFrame([], HISTORY).write.mode("ignore").partitionBy("sent_on", "batch_id").parquet(path)
+
+
 def send_batches(cfg, history_path: str, browser_history: DataFrame, clock):
     """``foreachBatch`` function: caps the users of a batch and appends them to the history.
 
-    ``clock()`` gives the run time. The append is keyed by the batch id, so a
-    repeated batch does not count twice.
+    ``clock()`` gives the run time. The history (``open_history``) is partitioned by the local day of the send
+    and by batch, so a batch reads the sends of the days that count and not the whole history, however long that
+    is. A batch that the history has already is not sent again, also not when its repeat falls on another day.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         as_of: datetime = clock()
-        schema = "email string, scheduled_time string, batch_id long"
-        history = spark.read.schema(schema).parquet(history_path)
-        sent = history.filter(F.col("batch_id") != batch_id)
-        users = batch.filter(not_blank("user_id_comp")).select(
-            F.col("user_id_comp").alias("email")
-        )
-        due = sendlist.frequency_cap(users.distinct(), sent, browser_history, cfg, as_of)
-        stamp = sendlist.local_text(as_of, sendlist.TIME, cfg.tz)
-        committed_append(due.withColumn("scheduled_time", F.lit(stamp)), history_path, batch_id)
+        history = batch.sparkSession.read.schema(HISTORY).parquet(history_path)
+        if not history.filter(F.col("batch_id") == batch_id).isEmpty():
+            return
+        users = batch.filter(not_blank("user_id_comp")).select(F.col("user_id_comp").alias("email")).distinct()
+        due = sendlist.frequency_cap(users, counted_days(history, cfg, as_of), browser_history, cfg, as_of)
+        stamps = {"scheduled_time": sendlist.TIME, "sent_on": "%Y-%m-%d"}
+        stamped = due.withColumns({c: F.lit(sendlist.local_text(as_of, f, cfg.tz)) for c, f in stamps.items()})
+        committed_append(stamped, history_path, batch_id, "sent_on")
 
     return run
 

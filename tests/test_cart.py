@@ -214,17 +214,43 @@ def test_delivery_batches(spark):
     assert sorted(r["count"] for r in sizes) == [45] + [100] * 23
 
 
+def _sends(spark, path):
+    rows = spark.read.schema(cart_sessions.HISTORY).parquet(path).collect()
+    return sorted((r.email, r.scheduled_time, r.batch_id) for r in rows)
+
+
 def test_stream_batches_count_once(spark, tmp_path):
-    path = str(tmp_path / "history")
-    schema = "email string, scheduled_time string, batch_id long"
-    spark.createDataFrame([], schema).write.partitionBy("batch_id").parquet(path)
+    path, at = str(tmp_path / "history"), [NOW]
+    cart_sessions.open_history(spark, path)
     browsed = spark.createDataFrame([], "email string, scheduled_time string")
-    run = cart_sessions.send_batches(CFG, path, browsed, lambda: NOW)
+    run = cart_sessions.send_batches(CFG, path, browsed, lambda: at[0])
     batch = spark.createDataFrame([("u1",), ("u1",), ("u2",), (None,)], "user_id_comp string")
     for batch_id in (0, 0, 1):  # the first batch is repeated, the second holds the same users
         run(batch, batch_id)
-    got = spark.read.schema(schema).parquet(path).collect()
-    assert sorted((r.email, r.batch_id) for r in got) == [("u1", 0), ("u2", 0)]
+    assert [(e, n) for e, _, n in _sends(spark, path)] == [("u1", 0), ("u2", 0)]
+    cart_sessions.open_history(spark, path)  # keeps what is there
+    at[0] = NOW + timedelta(days=1)
+    run(batch, 0)  # repeated on the next day
+    assert len(_sends(spark, path)) == 2
+    run(batch, 2)
+    assert [n for *_, n in _sends(spark, path)] == [0, 2, 0, 2]
+
+
+def test_caps_read_the_days_that_count(spark, tmp_path):
+    path, at = str(tmp_path / "history"), [NOW - timedelta(days=9)]
+    cart_sessions.open_history(spark, path)
+    browsed = spark.createDataFrame([], "email string, scheduled_time string")
+    batch = spark.createDataFrame([("u1",)], "user_id_comp string")
+    rolling = CFG.but(rolling_cap=True)
+    for no in range(10):
+        cart_sessions.send_batches(rolling, path, browsed, lambda: at[0])(batch, no)
+        at[0] += timedelta(days=1)
+    history = spark.read.schema(cart_sessions.HISTORY).parquet(path)
+    for cfg, days in ((CFG, 1), (rolling, 2)):
+        near = cart_sessions.counted_days(history, cfg, NOW)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(sent_on" in plan
+        assert near.select(F.input_file_name()).distinct().count() == near.select("sent_on").distinct().count() <= days
 
 
 STREAM_SCHEMA = "ts timestamp, event_id bigint, cookie string, user_id string, td_path string, items string, ecommerce string"

@@ -1,5 +1,7 @@
 """Edge tables of feeds, sheets, messages, segments and writers."""
 
+import threading
+from datetime import timedelta
 from urllib.parse import parse_qsl, urlencode, urlparse, urlunparse
 
 import pytest
@@ -105,6 +107,35 @@ def test_tables_are_made_and_replaced(spark):
     spark.sql(f"drop table {name}")
 
 
+def test_readers_meet_whole_content_while_it_is_replaced(spark, tmp_path):
+    name, home = "storelens_test_swapped", str(tmp_path)
+    spark.sql(f"drop table if exists {name}")
+    sinks.replace_table(spark.range(10).withColumn("x", F.lit("a")), name, home)
+    opened = spark.table(name)
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.table(name).count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in (0, 20, 30, 40):
+        sinks.replace_table(spark.range(n).select(F.lit("b").alias("x"), F.col("id").cast("int")), name, home)
+    stop.set()
+    reader.join()
+    assert seen and set(seen) <= {10, 0, 20, 30, 40}
+    assert opened.count() == 10  # a query from before reads what it was made on
+    assert spark.table(name).dtypes == [("id", "bigint"), ("x", "string")]
+    sinks.replace_table(spark.table(name).filter("id < 5"), name, home)  # from itself
+    sinks.append_table(spark.table(name).limit(2), name)
+    assert spark.table(name).count() == 7
+    with pytest.raises(ValueError):
+        sinks.replace_table(spark.range(3), name, home)
+    assert sinks.drop_former(spark, name, home) == 5 and spark.table(name).count() == 7
+    spark.sql(f"drop table {name}")
+
+
 def test_deliver_hands_over_whole_batches(spark, tmp_path):
     rows = spark.range(10).select(F.floor(F.col("id") / 4).alias("batch_no"), "id")
     out = str(tmp_path)
@@ -167,6 +198,47 @@ def test_ingest_writes_checks_and_skips(spark):
     spark.sql("drop table storelens_test_sheet")
 
 
+def test_loads_are_committed_once(spark, tmp_path):
+    home = str(tmp_path / "loads")
+    data = [("f", "s", i, [c]) for i, c in enumerate(["n", "1", "2"])] + [("f", "p", i, [c, "z"]) for i, c in enumerate(["m", "x"])]
+    grid = spark.createDataFrame(data, GRID)
+    specs = [ingest.SheetSpec("s", "numbers"), ingest.SheetSpec("p", "letters"), ingest.SheetSpec("absent", "none")]
+    assert ingest.load_sheets(grid, specs, AS_OF, home, "a") == ["numbers", "letters"]
+    assert ingest.load_sheets(grid, specs, AS_OF, home, "a") == []
+    assert ingest.load_sheets(grid, specs, AS_OF, home, "b", "append") == []  # the same cells
+    later = AS_OF + timedelta(days=1)
+    more = spark.createDataFrame([("f", "s", 0, ["n", "q"]), ("f", "s", 1, ["2.5", "w"])], GRID)
+    assert ingest.load_sheets(more, specs, later, home, "c", "append") == ["numbers"]
+    got = ingest.loaded(spark, home, "numbers")
+    assert sorted((r.n, r.q) for r in got.collect()) == [(1.0, None), (2.0, None), (2.5, "w")]
+    assert ingest.load_sheets(more, specs, later + timedelta(days=1), home, "d") == []
+    assert ingest.load_sheets(grid, specs[:1], later + timedelta(days=1), home, "e") == ["numbers"]
+    assert ingest.loaded(spark, home, "numbers").dtypes[0] == ("n", "bigint")
+    with pytest.raises(ValueError):
+        ingest.loaded(spark, home, "none")
+
+
+def test_a_load_that_fails_shows_nothing(spark, tmp_path, monkeypatch):
+    home = str(tmp_path / "loads")
+    data = [("f", s, i, [c]) for s in "ab" for i, c in enumerate(["n", "1"])]
+    grid = spark.createDataFrame(data, GRID)
+    specs = [ingest.SheetSpec("a", "one"), ingest.SheetSpec("b", "two")]
+    whole = ingest.ingest_sheet
+
+    def lost(grid, spec, as_of):
+        if spec.table == "two":
+            raise RuntimeError("lost")
+        return whole(grid, spec, as_of)
+
+    monkeypatch.setattr(ingest, "ingest_sheet", lost)
+    with pytest.raises(RuntimeError):
+        ingest.load_sheets(grid, specs, AS_OF, home, "a")
+    assert ingest.manifest(spark, home).count() == 0
+    monkeypatch.undo()
+    assert ingest.load_sheets(grid, specs, AS_OF, home, "a") == ["one", "two"]
+    assert ingest.loaded(spark, home, "one").count() == 1
+
+
 def test_spreadsheet_serials(spark):
     rows = spark.createDataFrame([(1.0,), (59.0,), (60.0,), (61.0,), (45292.5,)], "n double")
     assert [r[0] for r in rows.select(ingest.excel_serial_time("n")).collect()] == [
