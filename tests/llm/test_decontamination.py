@@ -2,7 +2,7 @@ import random
 import re
 from collections import defaultdict
 
-from storelens.llm.decontamination import decontaminate, find_leaks
+from storelens.llm.decontamination import WINDOW, decontaminate, document_prints, find_leaks, item_prints
 from tests.llm.common import EDGES, documents, prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +74,30 @@ def test_empty_tables(spark):
     assert find_leaks(documents(spark, docs).limit(0), benchmark).count() == 0
     none = find_leaks(documents(spark, docs), benchmark.limit(0)).collect()
     assert len(none) == len(docs) and all(r.n_hit == 0 and r.item_ids == [] for r in none)
+
+
+def test_fingerprints_are_thinned_and_meetings_reach_whole_passages(spark):
+    rng = random.Random(3)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    items = item_prints(benchmark)
+    rows = items.collect()
+    assert 50 < len(rows) < 200  # one per run of windows that share it, not one per window
+    assert sum(len(r.windows) for r in rows) == len(item) - WINDOW + 1
+    docs = [(i, " ".join(["x"] * i + item[7 * i : 7 * i + n] + ["y"])) for i, n in enumerate([9, 10, 11, 16, 40, 300])]
+    for r in find_leaks(documents(spark, docs), benchmark).collect():
+        n = [9, 10, 11, 16, 40, 300][r.doc_id]
+        assert r.n_hit == (n if n >= WINDOW else 0)
+        if r.n_hit:
+            assert min(s.start for s in r.spans) == r.doc_id
+            assert max(s.start + s.size for s in r.spans) == r.doc_id + n
+    seen = document_prints(documents(spark, docs), items).collect()
+    assert all(len(r.prints) < max(2, r.n_words / 2) for r in seen)
+
+
+def test_repeated_words_and_long_words(spark):
+    long = "q" * 4000
+    items = [(1, "the " * 30), (2, " ".join([long, *"abcdefghi"])), (3, "a b a b a b a b a b a b a")]
+    docs = [(1, "the " * 500), (2, " ".join(["z", long, *"abcdefghi", "z"])), (3, "b a " * 40), (4, " ".join([long + "q", *"abcdefghi"]))]
+    rows = find_leaks(documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in rows) == brute(docs, items)
