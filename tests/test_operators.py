@@ -206,3 +206,13 @@ def test_ntiles_number_missing_values_last(spark):
     rows = spark.createDataFrame([("a", 1.0), ("b", None), (None, 2.0), ("d", 3.0), ("e", None)], "k string, x double")
     got = {r.k: r.t for r in ntiles(rows, "k", {"t": F.col("x")}, 5).collect()}
     assert (got["a"], got[None], got["d"]) == (1, 2, 3) and {got["b"], got["e"]} == {4, 5}
+
+
+@pytest.mark.parametrize("salts", [1, 16, None])
+def test_the_repeated_side_of_a_salted_join_is_not_broadcast(spark, salts):
+    big, small = spark.range(500).selectExpr("id % 7 as k", "id"), spark.range(7).selectExpr("id as k", "id * 2 as v")
+    joined = salted_join(big, small, "k", "id", salts)
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.k, r.id, r.v) for r in joined.collect()) == sorted((i % 7, i, i % 7 * 2) for i in range(500))
