@@ -7,7 +7,7 @@ from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from storelens.functions.timewin import local_midnight, window_bounds
 from storelens.operators import joins, staging
@@ -216,3 +216,18 @@ def test_the_repeated_side_of_a_salted_join_is_not_broadcast(spark, salts):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert sorted((r.k, r.id, r.v) for r in joined.collect()) == sorted((i % 7, i, i % 7 * 2) for i in range(500))
+
+
+@pytest.mark.parametrize("slice_size", [3, 2_000])
+def test_pairs_of_members_with_many_partners_are_counted_in_parts(spark, monkeypatch, slice_size):
+    """A member with many partners is divided by residues of them, and tasks follow the number of pairs."""
+    monkeypatch.setattr(joins, "GROUP_SLICE", slice_size)
+    monkeypatch.setattr(joins, "PART_PAIRS", 7)
+    rng = random.Random(3)
+    rows = [(rng.randrange(30), f"v{rng.randrange(12)}") for _ in range(150)]
+    rows += [(0, f"v{i}") for i in range(12)]
+    slices = F.ceil(F.count("*").over(W.partitionBy("v")) / F.lit(slice_size)).cast("int")
+    kept = spark.createDataFrame(sorted(set(rows)), "e long, v string").withColumn("slices", slices)
+    counted = joins._pairs_of(kept)
+    assert {(r.a, r.b): r.n for r in counted.collect()} == pairs_by_hand(set(rows), 1)
+    assert counted.select(F.spark_partition_id()).distinct().count() > 8
