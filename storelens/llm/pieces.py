@@ -8,6 +8,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -84,10 +85,11 @@ class PieceEncoder:
         self.known = {c for p in self.scores for c in p}
         self.inside = {pair for p in self.scores for pair in zip(p, p[1:])}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.parts_now: dict[str, list[int]] = {}
-        self.parts_before: dict[str, list[int]] = {}
-        self.runs_now: dict[str, tuple[int, str]] = {}
-        self.runs_before: dict[str, tuple[int, str]] = {}
+        self.texts = {p: str(i) for p, i in self.ids.items()}
+        self.parts_now: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.parts_before: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.runs_now: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.runs_before: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def merge(self, text: str, steps: list | None = None) -> list[str]:
         """Pieces by plain merging: the best-scored neighbours first, of equals the leftmost."""
@@ -167,55 +169,70 @@ class PieceEncoder:
                 size = shorter[out.pop()]
                 last = out[-1] if out else ""
 
-    def _part(self, part: str) -> list[int]:
-        """Ids of a stretch in which each two neighbours stand together in some piece."""
-        got = self.parts_now.get(part) or self.parts_before.get(part)
+    def _part(self, part: str) -> tuple[tuple[int, ...], str]:
+        """Ids, and the decimal ids joined by commas, of known characters or of one unknown one."""
+        got = self.parts_before.get(part)
         if got is None:
             if part[0] in self.known:
-                got = [self.ids[p] for p in self.segment(part)]
+                found = self.segment(part)
+                got = tuple([self.ids[p] for p in found]), ",".join([self.texts[p] for p in found])
             else:
-                got = [self.bytes[b] for b in part.encode()]
-        if len(part) <= LONGEST_KEPT and part not in self.parts_now:
+                ids = tuple(self.bytes[b] for b in part.encode())
+                got = ids, ",".join(map(str, ids))
+        if len(part) <= LONGEST_KEPT:
             if len(self.parts_now) >= MEMORY:
                 self.parts_before, self.parts_now = self.parts_now, {}
             self.parts_now[part] = got
         return got
 
-    def run_ids(self, run: str) -> list[int]:
-        """Ids of a run with its leading spaces.
+    def parts(self, run: str) -> list[str]:
+        """Stretches of a run across which nothing merges.
 
         Where two neighbouring characters stand together in no piece, nothing merges
         across them; the run is cut there. An unknown character is a part of its own.
         """
-        inside, ids, start = self.inside, [], 0
+        inside, out, start = self.inside, [], 0
         for end, pair in enumerate(zip(run, run[1:]), 1):
             if pair not in inside:
-                ids += self._part(run[start:end])
+                out.append(run[start:end])
                 start = end
-        return ids + self._part(run[start:])
+        out.append(run[start:])
+        return out
 
-    def _run(self, run: str) -> tuple[int, str]:
-        got = self.runs_before.get(run)
+    def _run(self, key: str) -> tuple[tuple[int, ...], str]:
+        """Ids, and the decimal ids joined by commas, of a run with its leading spaces; one space may be left out."""
+        got = self.runs_before.get(key)
         if got is None:
-            ids = self.run_ids(run)
-            got = (len(ids), ",".join(map(str, ids)))
-        if len(run) <= LONGEST_KEPT:
+            run = key if key[0] == SPACE or not self.prefix else SPACE + key
+            found = [self.parts_now.get(p) or self._part(p) for p in self.parts(run)]
+            if len(found) == 1:
+                got = found[0]
+            else:
+                ids, texts = zip(*found)
+                got = tuple(chain.from_iterable(ids)), ",".join(texts)
+        if len(key) <= LONGEST_KEPT:
             if len(self.runs_now) >= MEMORY:
                 self.runs_before, self.runs_now = self.runs_now, {}
-            self.runs_now[run] = got
+            self.runs_now[key] = got
         return got
 
-    def encode(self, text: str) -> tuple[int, str]:
-        """Number of ids, and the decimal ids joined by commas.
+    def encode_ids(self, text: str) -> tuple[list[int], str]:
+        """Ids, and the decimal ids joined by commas.
 
         No piece has a space after another character, so nothing merges across the
         start of a run of spaces: each run is encoded by itself, and remembered.
         """
         if not text:
-            return 0, ""
-        runs = _RUNS.findall(self.prefix + text.replace(" ", SPACE))
-        found = [self.runs_now.get(r) or self._run(r) for r in runs]
-        return sum([n for n, _ in found]), ",".join([ids for _, ids in found])
+            return [], ""
+        single = self.prefix and text[0] != " " and text[-1] != " " and "  " not in text and SPACE not in text
+        runs = text.split(" ") if single else _RUNS.findall(self.prefix + text.replace(" ", SPACE))
+        ids, texts = zip(*[self.runs_now.get(r) or self._run(r) for r in runs])
+        return list(chain.from_iterable(ids)), ",".join(texts)
+
+    def encode(self, text: str) -> tuple[int, str]:
+        """Number of ids, and the decimal ids joined by commas."""
+        ids, joined = self.encode_ids(text)
+        return len(ids), joined
 
 
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -252,12 +269,12 @@ def encode_digests(docs: DataFrame, model: str) -> DataFrame:
     return _encoded(docs, model, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", _digest)
 
 
-def _full(ids: str, n: int, decoded: str) -> tuple:
-    return [int(i) for i in ids.split(",")] if n else [], decoded
+def _full(ids: list[int], text: str, decoded: str) -> tuple:
+    return ids, decoded
 
 
-def _digest(ids: str, n: int, decoded: str) -> tuple:
-    return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+def _digest(ids: list[int], text: str, decoded: str) -> tuple:
+    return len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def _encoded(docs: DataFrame, model: str, added: str, make) -> DataFrame:
@@ -276,9 +293,8 @@ def _encoded(docs: DataFrame, model: str, added: str, make) -> DataFrame:
         for whole in batches:
             for batch in text_runs(whole, len(others)):
                 made = []
-                for n, ids in map(own.encode, batch.column(len(others)).to_pylist()):
-                    decoded = theirs.decode([int(i) for i in ids.split(",")]) if n else ""
-                    made.append(make(ids, n, decoded))
+                for ids, text in map(own.encode_ids, batch.column(len(others)).to_pylist()):
+                    made.append(make(ids, text, theirs.decode(ids) if ids else ""))
                 columns = [pa.array(list(c), t) for c, t in zip(zip(*made), types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*others, *new.names])
 

@@ -33,6 +33,17 @@ def test_pieces_equal_the_library(spark):
         assert own.encode(t) == (len(ids), ",".join(map(str, ids)))
 
 
+def test_remembered_runs_hold_their_ids(monkeypatch):
+    monkeypatch.setattr(pieces, "MEMORY", 20)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = pieces.PieceEncoder(PIECES)
+    texts = ["the same words", "the same words", " the same  words ", "▁the same", "the\nsame, words 😀", "é", "😀😀 x"] + mixed(60, 9)
+    for t in texts * 2:
+        ids = library.encode(t)
+        assert own.encode_ids(t) == (ids, ",".join(map(str, ids)))
+    assert max(len(own.runs_now), len(own.runs_before), len(own.parts_now), len(own.parts_before)) <= 20
+
+
 def test_seam_check_equals_merging_again():
     own = pieces.encoder(PIECES)
     rng = random.Random(1)
