@@ -1,11 +1,12 @@
 """Building blocks against brute force on small random and skewed inputs."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window as W, functions as F
 
@@ -231,3 +232,32 @@ def test_pairs_of_members_with_many_partners_are_counted_in_parts(spark, monkeyp
     counted = joins._pairs_of(kept)
     assert {(r.a, r.b): r.n for r in counted.collect()} == pairs_by_hand(set(rows), 1)
     assert counted.select(F.spark_partition_id()).distinct().count() > 8
+
+
+@pytest.mark.parametrize("shift", [0, 1 << 40, 1 << 62])
+@pytest.mark.parametrize("least", [1, 3])
+def test_pairs_are_tallied_by_sorted_numbers(shift, least):
+    rng = random.Random(least)
+    rows = [(rng.randrange(5) + shift, [rng.randrange(9) + shift for _ in range(rng.randrange(6))]) for _ in range(60)]
+    batches = [
+        pa.RecordBatch.from_pydict({"a": [a for a, _ in part], "rest": pa.array([b for _, b in part], pa.list_(pa.int64()))})
+        for part in (rows[:25], rows[25:26], rows[26:])
+    ]
+    counts = Counter((a, b) for a, rest in rows for b in rest)
+    (got,) = joins._tallies(least)(iter(batches))
+    assert {(r["a"], r["b"]): r["n"] for r in got.to_pylist()} == {p: n for p, n in counts.items() if n >= least}
+    assert list(joins._tallies(least)(iter([]))) == []
+
+
+def test_groups_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
+    """One small file of groups is not listed by one task, and pairs below the least count do not leave theirs."""
+    monkeypatch.setattr(joins, "PART_PAIRS", 32)
+    rows = [(e, f"v{v}") for v in range(64) for e in range(v % 8, v % 8 + 6)] + [(100, "v0")]
+    kept = spark.createDataFrame(rows, "e long, v string").coalesce(1).withColumn("slices", F.lit(1))
+    dealt = []
+    listed = joins._partners
+    monkeypatch.setattr(joins, "_partners", lambda *a: dealt.append(listed(*a)) or dealt[0])
+    counted = joins._pairs_of(kept, 2)
+    assert {(r.a, r.b): r.n for r in counted.collect()} == pairs_by_hand(set(rows), 2)
+    assert dealt[0].rdd.getNumPartitions() >= 4
+    assert "HashAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
