@@ -157,9 +157,7 @@ def cart_rows(spark, sf):
 
 def reco_new(spark, sf):
     t = views(spark, sf, *RECO_TABLES)
-    return sendlist.segment_reco_new(
-        _carts(t), t["product_detail"], t["product_stock"], t["popularity"], CFG
-    )
+    return sendlist.segment_reco_new(_carts(t), t, CFG)
 
 
 def reco_f1(spark, sf):

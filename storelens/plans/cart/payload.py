@@ -15,6 +15,7 @@ from storelens.operators.ranking import (
     latest_by,
     pivot_slots,
 )
+from storelens.operators.staging import stage
 from storelens.plans.cart.sendlist import SLOTS, TIME
 
 PARTS = ("image_url", "item_name", "item_url", "item_brand")
@@ -67,7 +68,7 @@ def with_stock(push: DataFrame, stock: DataFrame, available_only: bool = True) -
         .select("email", "s.slot", product_handle("s.url").alias("item_id"))
         .filter(F.col("item_id").isNotNull())
     )
-    looked_up = salted_join(long, _stock_columns(stock, available_only), "item_id", "email")
+    looked_up = salted_join(stage(long), _stock_columns(stock, available_only), "item_id", "email", salts=None)
     names = [f"{kind}{n}" for n in SLOTS for kind in ("cart", "reco")]
     wide = looked_up.groupBy("email").agg(
         F.max(F.when(F.col("slot").startswith("cart"), F.col("any_low"))).alias("any_low"),
@@ -172,9 +173,10 @@ def send_payload(
     return rows.select(*columns)
 
 
-def latest_attributes(attributes: DataFrame) -> DataFrame:
+def latest_attributes(attributes: DataFrame, asked: DataFrame) -> DataFrame:
+    """The latest attributes of the addresses in ``asked``; the rows are wide, so others are left out before the shuffle."""
     order = [F.desc_nulls_last("ts"), F.asc("member_name")]
-    return latest_by(attributes, ["email"], order)
+    return latest_by(attributes.join(asked.select("email"), "email", "left_semi"), ["email"], order)
 
 
 def _profile_columns(cfg) -> list[Column]:
@@ -203,7 +205,7 @@ def send_payload_low_stock(
         F.col("email").isNotNull() & (F.col("cart_abandon_rfm_segment") == "f3plus")
     )
     rows = rows.join(subscribers(customers), "email").join(
-        latest_attributes(attributes).drop("ts"), "email", "left"
+        latest_attributes(attributes, rows).drop("ts"), "email", "left"
     )
     return rows.select(
         F.col("raw_email").alias("email"),
@@ -282,7 +284,7 @@ def _filled(names: list[str], counts: dict[int, str], none: str) -> Column:
 
 def classify_patterns(history: DataFrame, attributes: DataFrame) -> DataFrame:
     """Send history with the latest profile and labels of what is filled in."""
-    profile = latest_attributes(attributes).drop("ts")
+    profile = latest_attributes(attributes, history).drop("ts")
     rows = history.drop("pointsapproved").join(profile, "email", "left")
     cart = [f"cart_abandon_recommend_seq{n}_image_url" for n in SLOTS]
     own = [f"recommend_seq{n}_image_url" for n in PROFILE_SLOTS]

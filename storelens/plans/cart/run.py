@@ -29,22 +29,22 @@ def cart_targets(t: dict, log: DataFrame, cfg, as_of: datetime) -> DataFrame:
 
 def capped_candidates(t: dict, log: DataFrame, cfg, as_of: datetime) -> DataFrame:
     rows = stage(cart_targets(t, log, cfg, as_of))
-    found = targets.candidate_send_list(rows, t["identity_map"], t["rfm"], cfg)
+    found = targets.candidate_send_list(rows, t["identity_map"], t["rfm"], cfg, t.get("people"))
     return sendlist.frequency_cap(found, t["cart_history"], t["browser_history"], cfg, as_of)
 
 
 def carts(t: dict, log: DataFrame, cfg, as_of: datetime) -> DataFrame:
-    return sendlist.cart_pivot(capped_candidates(t, log, cfg, as_of), t["product_detail"])
+    return sendlist.cart_pivot(stage(capped_candidates(t, log, cfg, as_of)), sendlist.products_of(t))
 
 
 def push_list(t: dict, cfg, as_of: datetime, log: DataFrame | None = None) -> DataFrame:
-    """The whole job up to the send list; the sessionised log and the carts are staged."""
+    """The whole job up to the send list; what several steps read is made once and staged."""
     log = stage(sessions(t, cfg, as_of)) if log is None else log
+    t = sendlist.share_offers(t, cfg)
     wide = stage(carts(t, log, cfg, as_of))
+    t["bought"] = stage(sendlist.bought_by(wide, t, cfg, as_of, ["f1", "f3plus"]))
     recos = [
-        sendlist.segment_reco_new(
-            wide, t["product_detail"], t["product_stock"], t["popularity"], cfg
-        ),
+        sendlist.segment_reco_new(wide, t, cfg),
         sendlist.segment_reco_f1(wide, t, cfg, as_of),
         sendlist.segment_reco_f3plus(wide, t, cfg, as_of),
     ]

@@ -10,12 +10,18 @@ from storelens.functions.text import not_blank, or_empty
 from storelens.functions.timewin import as_utc, in_window, local_midnight, local_text
 from storelens.operators.joins import salted_join
 from storelens.operators.ranking import latest_by, pivot_slots, topk_per_key
+from storelens.operators.staging import stage
 from storelens.plans.cart.targets import identity_dedup
 
 SLOTS = (1, 2, 3, 4)
 TIME = "%Y-%m-%d %H:%M:%S"
 # Purchase segments, the one with more purchases wins.
 SEGMENTS = ["unknown", "f0", "f1", "f3plus"]
+# Partner tables, their item and score, and the bought column that asks for ``item_a``.
+PARTNERS = {
+    "coview": ("item_b", "co_view_sessions", "handle"),
+    "fbt": ("item_b_handle", "co_purchase_users", "product_id"),
+}
 
 PUSH_COLUMNS = [
     "email",
@@ -76,16 +82,17 @@ def product_dedup(detail: DataFrame) -> DataFrame:
     return detail.groupBy("item_id").agg(*[F.max(c).alias(c) for c in columns])
 
 
-def cart_pivot(capped: DataFrame, detail: DataFrame) -> DataFrame:
-    """One row per user: up to four cart items with their product data, and the segment.
+def cart_pivot(capped: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per user: up to four cart items with their product data (a row per item), and the segment.
 
-    Product data is looked up once in long form, before the slots become columns.
+    Product data is looked up once in long form, before the slots become columns. ``capped`` should be staged.
     """
     looked_up = salted_join(
         capped.select("email", "seq_no", F.col("last_item_id").alias("item_id")),
-        product_dedup(detail).drop("item_name"),
+        products.drop("item_name"),
         "item_id",
         "email",
+        salts=None,
     )
     products = pivot_slots(
         looked_up,
@@ -112,14 +119,22 @@ def cart_pivot(capped: DataFrame, detail: DataFrame) -> DataFrame:
     return named.join(products, "email", "left")
 
 
-def _offers(detail: DataFrame, stock: DataFrame) -> DataFrame:
+def products_of(t: dict) -> DataFrame:
+    """A row per item; the shared one where there is one."""
+    return t["products"] if "products" in t else product_dedup(t["product_detail"])
+
+
+def people_of(t: dict) -> DataFrame:
+    """A person per address; the shared table where there is one."""
+    return t["people"] if "people" in t else identity_dedup(t["identity_map"])
+
+
+def _offers(t: dict) -> DataFrame:
     """Items that may be recommended: with a picture and available."""
-    available = stock.filter(F.col("is_available") == "1").select("item_id")
-    return (
-        product_dedup(detail)
-        .filter(F.col("image_url").isNotNull())
-        .join(available, "item_id", "left_semi")
-    )
+    if "offers" in t:
+        return t["offers"]
+    available = t["product_stock"].filter(F.col("is_available") == "1").select("item_id")
+    return products_of(t).filter(F.col("image_url").isNotNull()).join(available, "item_id", "left_semi")
 
 
 def _lists(rows: DataFrame, offers: DataFrame, by: str, depth: int) -> DataFrame:
@@ -133,13 +148,29 @@ def _lists(rows: DataFrame, offers: DataFrame, by: str, depth: int) -> DataFrame
     ).select(by, "item_id", "score")
 
 
-def _popular(popularity: DataFrame, offers: DataFrame, depth: int) -> DataFrame:
-    rows = popularity.select(
-        F.col("item_category").alias("last_item_category"),
-        "item_id",
-        F.col("popularity_score").cast("double").alias("score"),
+def _best_offers(t: dict, name: str, cfg) -> DataFrame:
+    """The best offers per category (popularity), or per handle (coview) or product (fbt) that was bought."""
+    if f"best_{name}" in t:
+        return t[f"best_{name}"]
+    if name == "popularity":
+        rows = t[name].select(
+            F.col("item_category").alias("last_item_category"),
+            "item_id",
+            F.col("popularity_score").cast("double").alias("score"),
+        )
+        return _lists(rows, _offers(t), "last_item_category", _depth(cfg))
+    item, score, on = PARTNERS[name]
+    rows = t[name].filter(not_blank(item)).select(
+        F.col("item_a").alias(on), F.col(item).alias("item_id"), F.col(score).cast("double").alias("score")
     )
-    return _lists(rows, offers, "last_item_category", depth)
+    return _lists(rows, _offers(t), on, _depth(cfg))
+
+
+def share_offers(t: dict, cfg) -> dict:
+    """``t`` with what the carts and all recommendations read, each made and staged once."""
+    t = {**t, "products": stage(products_of(t)), "people": stage(people_of(t))}
+    t["offers"] = stage(_offers(t))
+    return {**t, **{f"best_{name}": stage(_best_offers(t, name, cfg)) for name in ("popularity", *PARTNERS)}}
 
 
 def _depth(cfg) -> int:
@@ -153,31 +184,25 @@ def _not_own(df: DataFrame) -> DataFrame:
 
 def _cart_key(carts: DataFrame, segments: list[str]) -> DataFrame:
     return carts.filter(F.col("rfm_segment").isin(segments)).select(
-        "email", "last_item_category", "cart_item_seq1_item_id"
+        "email", "rfm_segment", "last_item_category", "cart_item_seq1_item_id"
     )
 
 
 def _with_product(slots: DataFrame, offers: DataFrame) -> DataFrame:
-    return salted_join(slots, offers, "item_id", "email").select(
+    return salted_join(stage(slots), offers, "item_id", "email", salts=None).select(
         "email", "image_url", "item_name", "item_url", "brand_name", "seq_no"
     )
 
 
-def segment_reco_new(
-    carts: DataFrame, detail: DataFrame, stock: DataFrame, popularity: DataFrame, cfg
-) -> DataFrame:
+def segment_reco_new(carts: DataFrame, t: dict, cfg) -> DataFrame:
     """No or one purchase: the most viewed items of the cart item's category."""
-    offers = _offers(detail, stock)
     found = salted_join(
-        _cart_key(carts, ["unknown", "f0"]),
-        _popular(popularity, offers, _depth(cfg)),
-        "last_item_category",
-        "email",
+        _cart_key(carts, ["unknown", "f0"]), _best_offers(t, "popularity", cfg), "last_item_category", "email"
     )
     slots = topk_per_key(
         _not_own(found), ["email"], [F.desc("score"), F.asc("item_id")], len(SLOTS), "seq_no"
     )
-    return _with_product(slots.select("email", "item_id", "seq_no"), offers)
+    return _with_product(slots.select("email", "item_id", "seq_no"), _offers(t))
 
 
 def _number_slots(found: DataFrame, cfg) -> DataFrame:
@@ -195,82 +220,51 @@ def _number_slots(found: DataFrame, cfg) -> DataFrame:
     return latest_by(placed, ["email", "item_id"], [F.asc("seq_no")])
 
 
-def _bought(
-    carts: DataFrame, identity: DataFrame, history: DataFrame, cfg, as_of: datetime
-) -> DataFrame:
-    """Purchases of the carts' users in the history window, not cancelled."""
-    rows = in_window(history, cfg.history_window, as_of, cfg.tz).filter(
+def bought_by(carts: DataFrame, t: dict, cfg, as_of: datetime, segments: list[str]) -> DataFrame:
+    """Purchases of the carts' users of some segments in the history window, not cancelled."""
+    if "bought" in t:
+        return t["bought"].filter(F.col("rfm_segment").isin(segments))
+    rows = in_window(t["order_history"], cfg.history_window, as_of, cfg.tz).filter(
         F.col("cancelled_at").isNull() & not_blank("handle")
     )
     return (
-        carts.join(identity_dedup(identity), "email")
+        _cart_key(carts, segments)
+        .join(people_of(t), "email")
         .join(rows.select("td_llm_uid", "product_id", "handle", "ts"), "td_llm_uid")
         .drop("td_llm_uid")
     )
 
 
-def _related(
-    bought: DataFrame, pairs: DataFrame, offers: DataFrame, on: str, pri: int, weight: float, cfg
-) -> DataFrame:
-    """Best partners (item_a -> item_id, score) of each bought item."""
-    lists = _lists(
-        pairs.select(
-            F.col("item_a").alias(on), "item_id", (F.col("score") * weight).alias("score")
-        ),
-        offers,
-        on,
-        _depth(cfg),
-    )
-    found = salted_join(
-        bought.select("email", "cart_item_seq1_item_id", on).distinct(), lists, on, "email"
-    )
-    return _not_own(found).select("email", "item_id", "score", F.lit(pri).alias("pri"))
+def _related(bought: DataFrame, lists: DataFrame, on: str, pri: int, weight: float) -> DataFrame:
+    """Best partners (item_id, score) of each bought item; a weight above 0 leaves their order."""
+    asked = stage(bought.select("email", "cart_item_seq1_item_id", on).distinct())
+    found = salted_join(asked, lists, on, "email", salts=None)
+    return _not_own(found).select("email", "item_id", (F.col("score") * weight).alias("score"), F.lit(pri).alias("pri"))
 
 
-def _pairs(df: DataFrame, item: str, score: str) -> DataFrame:
-    return df.filter(not_blank(item)).select(
-        "item_a", F.col(item).alias("item_id"), F.col(score).cast("double").alias("score")
-    )
-
-
-def _segment_reco(
-    carts: DataFrame, bought: DataFrame, t: dict, offers: DataFrame, cfg, segment: str, order
-) -> DataFrame:
-    sources = {
-        "coview": (_pairs(t["coview"], "item_b", "co_view_sessions"), "handle"),
-        "fbt": (_pairs(t["fbt"], "item_b_handle", "co_purchase_users"), "product_id"),
-    }
+def _segment_reco(carts: DataFrame, bought: DataFrame, t: dict, cfg, segment: str, order) -> DataFrame:
     popular = salted_join(
-        _cart_key(carts, [segment]),
-        _popular(t["popularity"], offers, _depth(cfg)),
-        "last_item_category",
-        "email",
+        _cart_key(carts, [segment]), _best_offers(t, "popularity", cfg), "last_item_category", "email"
     )
     found = _not_own(popular).select("email", "item_id", "score", F.lit(3).alias("pri"))
     for pri, (name, weight) in enumerate(order, start=1):
-        pairs, on = sources[name]
-        found = found.unionByName(_related(bought, pairs, offers, on, pri, weight, cfg))
+        lists = _best_offers(t, name, cfg)
+        found = found.unionByName(_related(bought, lists, PARTNERS[name][2], pri, weight))
     slots = _number_slots(found, cfg)
-    return _with_product(slots.select("email", "item_id", "seq_no"), offers)
+    return _with_product(slots.select("email", "item_id", "seq_no"), _offers(t))
 
 
 def segment_reco_f1(carts: DataFrame, t: dict, cfg, as_of: datetime) -> DataFrame:
     """Two purchases: viewed, then bought with the last purchase, then popular."""
-    own = _cart_key(carts, ["f1"])
-    bought = _bought(own, t["identity_map"], t["order_history"], cfg, as_of)
+    bought = bought_by(carts, t, cfg, as_of, ["f1"])
     last = latest_by(bought, ["email"], [F.desc("ts"), F.asc("product_id")])
-    offers = _offers(t["product_detail"], t["product_stock"])
-    order = [("coview", 1.0), ("fbt", 1.0)]
-    return _segment_reco(carts, last, t, offers, cfg, "f1", order)
+    return _segment_reco(carts, last, t, cfg, "f1", [("coview", 1.0), ("fbt", 1.0)])
 
 
 def segment_reco_f3plus(carts: DataFrame, t: dict, cfg, as_of: datetime) -> DataFrame:
     """Three and more: bought with any recent purchase, then viewed, then popular."""
-    own = _cart_key(carts, ["f3plus"])
-    bought = _bought(own, t["identity_map"], t["order_history"], cfg, as_of)
-    offers = _offers(t["product_detail"], t["product_stock"])
-    order = [("fbt", 2.0), ("coview", 1.0)]
-    return _segment_reco(carts, bought, t, offers, cfg, "f3plus", order)
+    bought = bought_by(carts, t, cfg, as_of, ["f3plus"])
+    return _segment_reco(carts, bought, t, cfg, "f3plus", [("fbt", 2.0), ("coview", 1.0)])
 
 
 def push_send_list(

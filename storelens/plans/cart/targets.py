@@ -112,9 +112,12 @@ def identity_dedup(identity: DataFrame) -> DataFrame:
 
 
 def candidate_send_list(
-    targets: DataFrame, identity: DataFrame, rfm: DataFrame, cfg
+    targets: DataFrame, identity: DataFrame, rfm: DataFrame, cfg, people: DataFrame | None = None
 ) -> DataFrame:
-    """Items of each user's latest target session, with the purchase segment."""
+    """Items of each user's latest target session, with the purchase segment.
+
+    ``people`` is ``identity_dedup(identity)`` where it is there already.
+    """
     known = targets.filter(not_blank("user_id_comp"))
     latest = known.groupBy("user_id_comp").agg(
         F.max(F.struct("ts", "session_id"))["session_id"].alias("session_id")
@@ -127,7 +130,8 @@ def candidate_send_list(
         .otherwise("f3plus")
         .alias("segment"),
     )
-    people = identity_dedup(identity).join(segment, "td_llm_uid").select("email", "segment")
+    people = identity_dedup(identity) if people is None else people
+    people = people.join(segment, "td_llm_uid").select("email", "segment")
     return (
         items.withColumnRenamed("user_id_comp", "email")
         .join(people, "email", "left")

@@ -344,3 +344,39 @@ def test_late_rows_are_left_to_the_batch(spark, tmp_path):
     late = [(2, 3, "a", "ua", "/cart", _cart("LATE"), None), (3, 4, "z", "uz", "/cart", _cart("Z"), None)]
     clock = [(120, 5, "clock", "uc", "/", None, None)]
     assert _streamed(spark, tmp_path, first, late, clock) == [("ua", "A", 1)]
+
+
+def test_products_and_people_of_a_send_list_are_made_once(spark, monkeypatch):
+    from registry import cart as queries
+    from registry.common import views
+    from storelens.plans.cart import run
+
+    made = []
+    for module, name in ((sendlist, "product_dedup"), (sendlist, "identity_dedup"), (targets, "identity_dedup")):
+        def counted(rows, name=name, fn=getattr(module, name)):
+            made.append(name)
+            return fn(rows)
+
+        monkeypatch.setattr(module, name, counted)
+    t = views(spark, "/root/testdata/sf0.001", *queries.RECO_TABLES)
+    run.push_list(t, queries.CFG, queries.AS_OF)
+    assert sorted(made) == ["identity_dedup", "product_dedup"]
+
+
+def test_stock_is_not_repeated_where_no_item_is_hot(spark):
+    shared = "x string, item_id string, is_available string, low_stock string, taxin_price string, " \
+        "taxin_compare_at_price string, sale_flag string, discount_rate string"
+    stock = spark.createDataFrame([("", f"h{i}", "1", "", "5", "6", "0", None) for i in range(50)], shared)
+    urls = [c.format(n=n) for n in sendlist.SLOTS for c in ("cart_item_seq{n}_item_url", "cart_abandon_recommend_seq{n}_item_url")]
+    push = spark.createDataFrame([("a", *["https://s/products/h1"] * 8)], "email string, " + ", ".join(f"{u} string" for u in urls))
+    got = payload.with_stock(push, stock)
+    assert "_salt" not in got._jdf.queryExecution().analyzed().toString()
+    assert [(r.cart1_price, r.reco4_price_org) for r in got.collect()] == [("5", "6")]
+
+
+def test_profiles_are_ranked_for_asked_addresses_only(spark):
+    rows = [("a", datetime(2024, 1, 1), "old"), ("a", datetime(2024, 1, 2), "new"), ("b", datetime(2024, 1, 1), "other")]
+    attributes = spark.createDataFrame(rows, "email string, ts timestamp, member_name string")
+    asked = spark.createDataFrame([("a",), (None,), ("c",)], "email string")
+    got = payload.latest_attributes(attributes, asked).collect()
+    assert [(r.email, r.member_name) for r in got] == [("a", "new")]
