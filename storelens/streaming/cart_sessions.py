@@ -11,7 +11,9 @@ import hashlib
 import json
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -39,6 +41,17 @@ def _listed(items: Column) -> Column:
     return F.transform(listed, lambda x: F.struct(*[F.get_json_object(x, f"$.{f}").alias(f) for f in fields]))
 
 
+class Slice(NamedTuple):
+    """A slice as the state function reads it."""
+
+    first: int
+    last: int
+    n: int
+    user: str | None
+    bought: bool
+    cart: str
+
+
 class _Session:
     """A session so far; ``cart`` has the newest row of every item: time, place, event, name, category."""
 
@@ -53,7 +66,7 @@ class _Session:
     def opened(at: int) -> _Session:
         return _Session((at, at, 0, None, False, False, "{}"))
 
-    def add(self, part: tuple) -> None:
+    def add(self, part: Slice) -> None:
         """Takes in a slice: its first and last time, events, largest user, purchase, and newest row of each item."""
         self.last, self.n, self.told = max(self.last, part.last), self.n + part.n, False
         self.bought |= bool(part.bought)
@@ -83,21 +96,37 @@ SLICE = "cookie string, until timestamp, first bigint, last bigint, n bigint, us
 GATHERED = 200_000
 
 
+def _reduced(rows: pd.DataFrame, keys: list[str], order: list[str]) -> pd.DataFrame:
+    """The last row by ``order`` of each group, with the sums of the group.
+
+    Groups are runs of a sorted array: a group is a row or two, so a call for each of them would take most of the time.
+    Users are compared as numbers in the order of their texts.
+    """
+    group = rows.groupby(keys, sort=False).ngroup().to_numpy()
+    by = np.lexsort((*(rows[c].to_numpy() for c in reversed(order)), group))
+    group = group[by]
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    out = rows.iloc[by[np.append(starts[1:], len(by)) - 1]][[*keys, *order, "item_name", "item_category"]]
+    user, users = pd.factorize(rows["user"], sort=True)
+    sums = {
+        "first": np.minimum.reduceat(rows["first"].to_numpy()[by], starts),
+        "last": np.maximum.reduceat(rows["last"].to_numpy()[by], starts),
+        "n": np.add.reduceat(rows["n"].to_numpy()[by], starts),
+        "user": users.to_numpy(object)[np.maximum.reduceat(user[by], starts)],
+        "bought": np.logical_or.reduceat(rows["bought"].to_numpy(bool)[by], starts),
+    }
+    return out.reset_index(drop=True).assign(**sums)
+
+
 def _summed(rows: pd.DataFrame) -> pd.DataFrame:
     """One row per cookie, slice and item, with the item's newest row; rows that are summed already may be among them."""
-    sums = rows.groupby(_PER_ITEM, sort=False).agg(
-        first=("first", "min"), last=("last", "max"), n=("n", "sum"), user=("user", "max"), bought=("bought", "max")
-    )
-    newest = rows.sort_values(_NEWEST).drop_duplicates(_PER_ITEM, keep="last")
-    return newest[[*_PER_ITEM, *_NEWEST, "item_name", "item_category"]].join(sums, on=_PER_ITEM)
+    return _reduced(rows, _PER_ITEM, _NEWEST)
 
 
 def _listed_slices(rows: pd.DataFrame) -> pd.DataFrame:
     """A row per cookie and slice; its items are listed in it. The empty item stands for events without one."""
     keys = ["cookie", "slice"]
-    out = rows.groupby(keys, sort=False, as_index=False).agg(
-        first=("first", "min"), last=("last", "max"), n=("n", "sum"), user=("user", "max"), bought=("bought", "max")
-    )
+    out = _reduced(rows, keys, [])
     carts: dict[tuple, dict[str, list]] = {}
     items = rows[rows["item_id"] != ""]
     names = [*keys, "item_id", *_NEWEST, "item_name", "item_category"]
@@ -183,9 +212,9 @@ def due_carts(events: DataFrame, cfg, delay: str = "1 minute") -> DataFrame:
         if state.hasTimedOut:
             out += session.release(cookie)
         else:
-            rows = pd.concat(list(parts))
+            rows = [Slice(*x) for rows in parts for x in zip(*(rows[c].tolist() for c in Slice._fields))]
             # Spark itself drops what ends before the watermark of the batch before
-            for part in rows[rows["last"] >= now].sort_values(["first", "last"]).itertuples():
+            for part in sorted((x for x in rows if x.last >= now), key=lambda x: x[:2]):
                 if session is not None and part.first - session.last > idle:
                     out += session.release(cookie)
                     if part.first - session.last > gap:

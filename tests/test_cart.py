@@ -1,6 +1,7 @@
 """Edge tables of the cart job."""
 
 import json
+import time
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
@@ -380,3 +381,17 @@ def test_profiles_are_ranked_for_asked_addresses_only(spark):
     asked = spark.createDataFrame([("a",), (None,), ("c",)], "email string")
     got = payload.latest_attributes(attributes, asked).collect()
     assert [(r.email, r.member_name) for r in got] == [("a", "new")]
+
+
+def test_slices_are_summed_up_without_a_call_per_group():
+    rows = pd.DataFrame([r for k in range(300) for r in _item_rows(k)]).assign(user=[f"=u{k % 7}" for k in range(900)])
+    rows["slice"] = rows["at"] // 2
+    got = cart_sessions._summed(rows)
+    again = rows.groupby(["cookie", "slice", "item_id"], sort=False)
+    assert len(got) == 300 and got["n"].sum() == rows["n"].sum()
+    assert got["user"].tolist() == again["user"].agg("max").tolist()
+    assert got["event_id"].tolist() == again["event_id"].agg("max").tolist()
+    began = time.process_time()
+    wide = pd.concat([rows.assign(cookie=f"c{k}") for k in range(100)])
+    assert len(cart_sessions._summed(wide)) == 30_000
+    assert time.process_time() - began < 1.5
