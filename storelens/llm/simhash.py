@@ -151,6 +151,13 @@ def _classes(prints: DataFrame, radius: int) -> DataFrame:
     return rooted.join(best, "root").select("fp", "best")
 
 
+def groups(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``(text_hash, group)``, staged: a row for each text; texts that fingerprints within ``radius`` bits link have one group."""
+    prints = stage(fingerprints(docs.select("doc_id", "text"), k).select("text_hash", "fp").distinct())
+    found = components(links(stage(prints.select("fp").distinct()), radius)).toDF("fp", "root")
+    return stage(prints.join(found, "fp", "left").select("text_hash", F.coalesce("root", "fp").alias("group")))
+
+
 def near_copies(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``(doc_id, fp, component_id)``: documents linked by fingerprints within ``radius`` bits.
 

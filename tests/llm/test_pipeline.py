@@ -67,6 +67,19 @@ def test_run_matches_the_stages_by_brute_force(spark, sf):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_near_copies_are_linked_by_simhash_and_by_shingles(spark):
+    """5 and 3 are mostly one passage and have one fingerprint, their shingle sets are far apart; 5 and 1 have one set, not one fingerprint."""
+    passage = " ".join(f"w{i}" for i in range(9))
+
+    def text(times, n):
+        return " ".join([passage] * times + [f"t{n}x{i}" for i in range(40)])
+
+    rows = [(5, text(60, 1)), (3, text(60, 2)), (1, text(2, 1)), (7, text(0, 3))]
+    assert brute_kept(rows) == [1, 3, 7]
+    kept = corpus_pipeline.near_copies(spark, documents(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 7]
+
+
 def test_every_stage_takes_an_empty_table(spark, sf):
     home, rows, _ = sf
     docs = documents(spark, rows[:3]).limit(0)
