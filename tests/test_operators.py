@@ -249,6 +249,37 @@ def test_pairs_are_tallied_by_sorted_numbers(shift, least):
     assert list(joins._tallies(least)(iter([]))) == []
 
 
+@pytest.mark.parametrize("step", [3, 1 << 20, 1 << 45])
+def test_partners_travel_as_short_steps(step):
+    rng = random.Random(step)
+    rows = []
+    for _ in range(50):
+        a, *rest = sorted(rng.sample(range(step * 40), rng.randrange(1, 30)))
+        rows.append((a, rest))
+    full = {"a": [a for a, _ in rows], "rest": pa.array([b for _, b in rows], pa.list_(pa.int64()))}
+    batch = pa.RecordBatch.from_pydict(full)
+    packed = list(joins._packed(iter([batch.slice(0, 20), batch.slice(20, 0), batch.slice(20)])))
+    back = pa.Table.from_batches(joins._unpacked(iter([packed[0].slice(0, 7), packed[0].slice(7), *packed[1:]])))
+    assert back.to_pydict() == {"a": full["a"], "rest": [b for _, b in rows]}
+    # the partners of two residues, then of three
+    for residues in (2, 3):
+        parts = [x.append_column("residues", pa.array([residues] * len(x))) for x in packed if len(x)]
+        got = pa.Table.from_batches(joins._divided(iter(parts)))
+        lists = pa.Table.from_batches(joins._unpacked(iter(got.select(["a", "rest"]).to_batches())))["rest"].to_pylist()
+        assert sorted(zip(got["a"].to_pylist(), got["residue"].to_pylist(), lists)) == sorted(
+            (a, r, own) for a, b in rows for r in range(residues) if (own := [x for x in b if x % residues == r])
+        )
+
+
+def test_partners_take_few_bytes_in_the_shuffle(spark, monkeypatch):
+    """Lists are bytes before they are dealt to tasks, one for a partner that is less than 128 numbers on."""
+    dealt, listed = [], joins._partners
+    monkeypatch.setattr(joins, "_partners", lambda *a: dealt.append(listed(*a)) or dealt[0])
+    kept = spark.range(40).selectExpr("id as e", "'v' as v", "1 as slices")
+    assert joins._pairs_of(kept).count() == 780
+    assert {r.a: len(r.rest) for r in dealt[0].collect()} == {a: 39 - a for a in range(39)}
+
+
 def test_groups_are_dealt_to_tasks_by_their_pairs(spark, monkeypatch):
     """One small file of groups is not listed by one task, and pairs below the least count do not leave theirs."""
     monkeypatch.setattr(joins, "PART_PAIRS", 32)
