@@ -39,6 +39,26 @@ def test_matrix_factorisation_leaves_owned_products_out(spark):
     assert 0.2 <= low <= high <= 1.0
 
 
+def test_blocks_of_the_factorisation_follow_the_ratings(spark, monkeypatch):
+    assert [learned.factor_blocks(n) for n in (0, 10 << 18, (10 << 18) + 1, 60 << 18)] == [10, 10, 11, 60]
+    asked = []
+
+    class Stopped(Exception):
+        pass
+
+    def factorise(**given):
+        asked.append((given["numUserBlocks"], given["numItemBlocks"]))
+        raise Stopped
+
+    monkeypatch.setattr(learned, "ALS", factorise)
+    monkeypatch.setattr(learned, "BLOCK_RATINGS", 20)
+    t = {"purchases": views(spark, SF, "purchases")["purchases"]}
+    n = learned.interactions(t, reco.CF, AS_OF).count()
+    with pytest.raises(Stopped):
+        learned.user_based_cf(t, reco.CF, AS_OF)
+    assert asked == [(-(-n // 20),) * 2] and asked[0][0] > 10
+
+
 def test_matrix_factorisation_of_nothing(spark):
     t = {"purchases": views(spark, SF, "purchases")["purchases"].limit(0)}
     out = learned.user_based_cf(t, reco.CF, AS_OF)
