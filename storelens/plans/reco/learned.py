@@ -37,6 +37,13 @@ def _stitched(t: Tables, cfg, as_of: datetime) -> DataFrame:
     return salted_join(rows, t["id_mapping"].select("member_id", "cookie"), "cookie", "ts")
 
 
+def _mean(column: str):
+    """The mean of doubles, not dependent on the order of rows: whole and broken parts of 2^-20 add up without rounding."""
+    scaled = F.col(column).cast("double") * F.lit(float(1 << 20))
+    whole = F.floor(scaled).cast("double")
+    return (F.sum(whole) + F.sum(scaled - whole)) / F.lit(float(1 << 20)) / F.nullif(F.count(column), F.lit(0))
+
+
 def ml_features(t: Tables, cfg, as_of: datetime) -> DataFrame:
     """One row per member: web, purchase and profile features, zero when absent."""
     web = (
@@ -47,7 +54,7 @@ def ml_features(t: Tables, cfg, as_of: datetime) -> DataFrame:
             F.count_distinct("session_id").alias("session_count"),
             F.count_distinct("category_id").alias("distinct_category_count"),
             F.count_distinct("brand_id").alias("distinct_brand_count"),
-            F.avg("dwell_seconds").alias("avg_dwell_seconds"),
+            _mean("dwell_seconds").alias("avg_dwell_seconds"),
         )
     )
     bought = (

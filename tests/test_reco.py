@@ -39,6 +39,18 @@ def test_matrix_factorisation_leaves_owned_products_out(spark):
     assert 0.2 <= low <= high <= 1.0
 
 
+def test_mean_does_not_depend_on_the_order_of_rows(spark):
+    values = [random.Random(n).randrange(20_000) / 100 for n in range(999)]
+    want = math.fsum(values) / len(values)
+    for seed in range(3):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(5)
+        assert df.agg(learned._mean("x")).first()[0] == want
+    assert df.filter("x is null").agg(learned._mean("x")).first()[0] is None
+    odd = spark.createDataFrame([(float("inf"),), (1.5,)], "x double")
+    assert odd.agg(learned._mean("x")).first()[0] == math.inf
+
+
 def test_blocks_of_the_factorisation_follow_the_ratings(spark, monkeypatch):
     assert [learned.factor_blocks(n) for n in (0, 10 << 18, (10 << 18) + 1, 60 << 18)] == [10, 10, 11, 60]
     asked = []
